@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, url_filter
+from . import mixing, token_store, url_filter
 from .workspace import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,16 @@ ruled AS (
 SELECT page_id, o.host, o.path, rule, coalesce(kind, c.verdict, 'allow') AS verdict
 FROM own o LEFT JOIN named n ON n.url = o.url LEFT JOIN classes c ON c.node = n.node WHERE i = 1
 """
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@_query
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = Workspace(spark, "op2").path("tokens")
+    token_store.write_tokens(_table(spark, sf_dir, "documents"), root, vocabulary("byte_bpe_50k.json"))
+    return token_store.read_tokens(spark, root)
