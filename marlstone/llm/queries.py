@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, quality, token_store, url_filter
+from . import decontaminate, mixing, quality, token_store, url_filter, warc
 from .workspace import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,19 @@ WITH d AS (
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
 """
+
+
+@_query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ws = Workspace(spark, "op1")
+    warc.write_warc(_table(spark, sf_dir, "pages"), ws.path("warc"), ws)
+    return warc.read_warc(spark, ws.path("warc")).drop("url")
+
+
+_SHA1_BASE32 = "array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ('0b' || substr(bits, 1 + i * 5, 5))::INT, 1)), '')"
+ORACLES["op1_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, octet_length(encode(p.h))::BIGINT AS payload_bytes, {_SHA1_BASE32} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM (SELECT page_id, h, first, array_to_string(list_transform(range(40), lambda i: substr('0000000100100011010001010110011110001001101010111100110111101111', 1 + 4 * (strpos('0123456789abcdef', substr(sha1(p.h), 1 + i, 1)) - 1)::INT, 4)), '') AS bits FROM p JOIN f USING (h)) p
+"""
