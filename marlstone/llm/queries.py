@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, quality, token_store, url_filter, warc
+from . import decontaminate, mixing, quality, secrets, token_store, url_filter, warc
 from .workspace import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,8 @@ SELECT page_id, octet_length(encode(p.h))::BIGINT AS payload_bytes, {_SHA1_BASE3
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
 FROM (SELECT page_id, h, first, array_to_string(list_transform(range(40), lambda i: substr('0000000100100011010001010110011110001001101010111100110111101111', 1 + 4 * (strpos('0123456789abcdef', substr(sha1(p.h), 1 + i, 1)) - 1)::INT, 4)), '') AS bits FROM p JOIN f USING (h)) p
 """
+
+
+@_query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(_table(spark, sf_dir, "documents"))
