@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, quality, secrets, token_store, url_filter, warc
+from . import decontaminate, mixing, ngram_join, quality, secrets, token_store, url_filter, warc
 from .workspace import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,22 @@ FROM (SELECT page_id, h, first, array_to_string(list_transform(range(40), lambda
 @_query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_ngrams(_table(spark, sf_dir, "documents"), Workspace(spark, "op7"))
+
+
+ORACLES["op7_ngram_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(5, len(w)) - 1], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM g a JOIN g b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 10 * common >= 8 * (x.n + y.n - common)
+), reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, least(d.doc_id, (SELECT min(b) FROM reach WHERE a = d.doc_id)) AS class_id, (SELECT count(*) FROM links WHERE a = d.doc_id)::BIGINT AS n_links FROM d
+"""
