@@ -178,3 +178,10 @@ WITH RECURSIVE d AS (
 ), reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
 SELECT d.doc_id, least(d.doc_id, (SELECT min(b) FROM reach WHERE a = d.doc_id)) AS class_id, (SELECT count(*) FROM links WHERE a = d.doc_id)::BIGINT AS n_links FROM d
 """
+
+
+@_query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
