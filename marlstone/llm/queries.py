@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, ngram_join, quality, secrets, token_store, url_filter, warc
+from . import decontaminate, licenses, mixing, ngram_join, quality, secrets, token_store, url_filter, warc
 from .workspace import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,6 +161,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_ngrams(_table(spark, sf_dir, "documents"), Workspace(spark, "op7"))
