@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, mixing, ngram_join, quality, secrets, token_store, url_filter, warc
+from . import decontaminate, licenses, line_dedup, mixing, ngram_join, quality, secrets, token_store, url_filter, warc
 from .workspace import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,6 +166,33 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedupe_lines(_table(spark, sf_dir, "documents"), Workspace(spark, "op6"))
+
+
+ORACLES["op6_line_dedup"] = r"""
+WITH RECURSIVE o AS (
+  SELECT doc_id, line, i - 1 AS line_no FROM (SELECT doc_id, l[i] AS line, i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL), unnest(range(1, len(l) + 1)) AS u(i))
+  WHERE translate(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '') <> ''
+), d AS (SELECT line, row_number() OVER (ORDER BY line) AS id, length(line) AS n FROM (SELECT DISTINCT line FROM o)), s AS (
+  SELECT DISTINCT id, hash(substr(line, i, 5)) AS g FROM d, unnest(range(1, greatest(n - 4, 1) + 1)) AS u(i)
+), sizes AS (SELECT id, count(*) AS n FROM s GROUP BY id), rarity AS (SELECT g, count(*) AS f FROM s GROUP BY g), p AS (
+  SELECT id, g, n FROM (SELECT id, g, sizes.n, row_number() OVER (PARTITION BY id ORDER BY f, g) AS r FROM s JOIN rarity USING (g) JOIN sizes USING (id)) WHERE r <= n - ceil(0.8 * n) + 1
+), c AS (
+  SELECT DISTINCT a.id AS a, b.id AS b FROM p a JOIN p b USING (g) WHERE a.id < b.id AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n)
+), links AS (
+  SELECT a, b FROM (SELECT c.a, c.b, count(*) AS common FROM c JOIN s x ON x.id = c.a JOIN s y ON y.id = c.b AND y.g = x.g GROUP BY ALL) JOIN sizes m ON m.id = a JOIN sizes n ON n.id = b
+  WHERE 10 * common >= 8 * (m.n + n.n - common)
+), both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links), reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a),
+class AS (SELECT id, least(id, (SELECT min(b) FROM reach WHERE a = id)) AS class FROM d),
+firsts AS (SELECT class, min({'d': doc_id, 'l': line_no}) AS place FROM o JOIN d USING (line) JOIN class USING (id) GROUP BY class),
+kept AS (SELECT place.d AS doc_id, count(*) AS n_kept, string_agg(place.l::VARCHAR, ',' ORDER BY place.l) AS kept_lines FROM firsts GROUP BY 1),
+counts AS (SELECT doc_id, count(line_no) AS n_lines FROM documents LEFT JOIN o USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n_lines::BIGINT AS n_lines, coalesce(n_kept, 0)::BIGINT AS n_kept, coalesce(kept_lines, '') AS kept_lines FROM counts LEFT JOIN kept USING (doc_id)
+"""
+
+
 @_query
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_ngrams(_table(spark, sf_dir, "documents"), Workspace(spark, "op7"))
