@@ -166,15 +166,30 @@ def _linked(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], kind), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], kind)], names=["node", "links", "root"])
 
 
-def _distinct_texts(docs: DataFrame, text_col: str, n: int) -> DataFrame:
-    """(node, text): each set of n-grams once for each task that reads it, so that copies are few before the shuffle."""
+#: Bits of the filter that texts pass before they are shuffled, and the two moduli that place a node in it. Its size is fixed (4 MB), whatever it holds.
+FILTER_BITS, _PLACES = 1 << 25, (1 << 25, (1 << 25) - 39)
+
+
+def _node_filter(nodes: DataFrame) -> bytes:
+    """A Bloom filter of the nodes, combined word by word before it reaches the driver."""
+    place = F.explode(F.array(*[F.expr(f"cast(node % {m} as int)") for m in _PLACES])).alias("place")
+    words = nodes.select(place).groupBy(F.expr("place div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, place % 64)")).alias("bits")).collect()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    if words:
+        out[[w.word for w in words]] = [w.bits for w in words]
+    return out.tobytes()
+
+
+def _distinct_texts(docs: DataFrame, text_col: str, n: int, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the texts that may be of ``nodes``: each set of n-grams once for each task that reads it, so that copies are few before the shuffle."""
+    sent = docs.sparkSession.sparkContext.broadcast(_node_filter(nodes))
 
     def start() -> Callable:
-        grams, seen = Grams(n), set()
+        grams, seen, bits = Grams(n), set(), np.frombuffer(sent.value, np.uint8)
 
         def row(text: str | None) -> tuple | None:
             node = digest(grams(text))
-            if node is None or node in seen:
+            if node is None or node in seen or not all(bits[(p := int(node) % m) >> 3] >> (p & 7) & 1 for m in _PLACES):
                 return None
             seen.add(node)
             return (node,)
@@ -204,12 +219,12 @@ def _classes(docs: DataFrame, ws: Workspace, id_col: str, text_col: str, n: int,
     lowest = buckets.groupBy("band", "hash").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1").drop("n")
     candidates = buckets.join(lowest, ["band", "hash"]).where("node <> low").select("node", "low")
     groups = ws.save(connected_components(candidates, "node", "low", ws, "candidates"), "groups")
-    members = groups.withColumnRenamed("component", "component").join(sets.select("node", "copies", "grams"), "node")
+    members = groups.join(sets.select("node", "copies", "grams"), "node")
     sizes = members.groupBy("component").agg(F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("grams") / BLOCK_GRAMS)).cast("int").alias("blocks"))
     placed = ws.save(members.join(sizes, "component").select("node", "component", "copies", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block")), "placed")
     # every two blocks of a group meet once; a group of one block meets itself
     meets = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("low"), F.greatest(o, F.col("block")).alias("high"))))
-    one_each = _distinct_texts(docs, text_col, n).join(placed, "node").dropDuplicates(["node"])
+    one_each = _distinct_texts(docs, text_col, n, placed.select("node")).join(placed, "node").dropDuplicates(["node"])
     dealt = one_each.withColumn("meet", meets).select("component", "meet.low", "meet.high", "block", "node", "copies", "text")
     keys = ["component", "low", "high"]
     linked = ws.save(dealt.repartition(partitions(spark), *keys).sortWithinPartitions(*keys).mapInArrow(_verify(n, threshold), "node decimal(38,0), links long, root decimal(38,0)"), "linked")
