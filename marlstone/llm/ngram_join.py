@@ -180,6 +180,10 @@ def _node_filter(nodes: DataFrame) -> bytes:
     return out.tobytes()
 
 
+def _holds(bits: np.ndarray, node: Decimal) -> bool:
+    return all(bits[(p := int(node) % m) >> 3] >> (p & 7) & 1 for m in _PLACES)
+
+
 def _distinct_texts(docs: DataFrame, text_col: str, n: int, nodes: DataFrame) -> DataFrame:
     """(node, text) of the texts that may be of ``nodes``: each set of n-grams once for each task that reads it, so that copies are few before the shuffle."""
     sent = docs.sparkSession.sparkContext.broadcast(_node_filter(nodes))
@@ -189,7 +193,7 @@ def _distinct_texts(docs: DataFrame, text_col: str, n: int, nodes: DataFrame) ->
 
         def row(text: str | None) -> tuple | None:
             node = digest(grams(text))
-            if node is None or node in seen or not all(bits[(p := int(node) % m) >> 3] >> (p & 7) & 1 for m in _PLACES):
+            if node is None or node in seen or not _holds(bits, node):
                 return None
             seen.add(node)
             return (node,)
@@ -200,7 +204,7 @@ def _distinct_texts(docs: DataFrame, text_col: str, n: int, nodes: DataFrame) ->
 
 
 def _classes(docs: DataFrame, ws: Workspace, id_col: str, text_col: str, n: int, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
-    """(id, node) of every row, and (node, first, class_id, n_links) of every set of n-grams."""
+    """(id, node) of every row, and (node, component, first, class_id, n_links) of every set of n-grams."""
     spark = docs.sparkSession
     bands, rows = choose_bands(threshold, recall)
 
@@ -233,7 +237,7 @@ def _classes(docs: DataFrame, ws: Workspace, id_col: str, text_col: str, n: int,
     known = sets.select("node", "copies", "first").join(links, "node", "left").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     known = ws.save(known, "known")
     lowest_id = known.groupBy("component").agg(F.min("first").alias("class_id"))
-    classes = known.join(lowest_id, "component").select("node", "first", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    classes = known.join(lowest_id, "component").select("node", "component", "first", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     return sketches.select("id", "node"), classes
 
 
@@ -263,13 +267,17 @@ def one_of_each(docs: DataFrame, ws: Workspace, *, id_col: str = "doc_id", text_
     safe, names = positional(docs)
     ident, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
     _, classes = _classes(safe, ws, ident, text, n, threshold, recall)
+    classes = ws.save(classes, "classes")
+    sent = docs.sparkSession.sparkContext.broadcast(_node_filter(classes.where("n_links > 0").select("node")))
 
-    def start() -> Callable:
-        grams, seen = Grams(n), set()
+    def start(linked: bool) -> Callable:
+        grams, seen, bits = Grams(n), set(), np.frombuffer(sent.value, np.uint8)
 
         def row(value: str | None, id_: int | None) -> tuple | None:
             node = digest(grams(value))
-            if node is not None:
+            if (node is not None and _holds(bits, node)) != linked:
+                return None
+            if linked:
                 if (node, id_) in seen:  # rows with equal ids and texts: one a task
                     return None
                 seen.add((node, id_))
@@ -277,9 +285,10 @@ def one_of_each(docs: DataFrame, ws: Workspace, *, id_col: str = "doc_id", text_
 
         return row
 
-    marked = add_columns(safe, [text, ident], "_node decimal(38,0)", start)
-    winners = classes.where(F.col("first").eqNullSafe(F.col("class_id"))).select(F.col("node").alias("_node"), F.col("first").alias("_first"), F.col("class_id").alias("_class"))
-    # ids that stand for two different sets of one class: the smallest node stays
-    alone = winners.groupBy("_class").agg(F.min("_node").alias("_node"))
-    kept = marked.where("_node is not null").join(alone.select("_node", "_class"), "_node").where(F.col(ident).eqNullSafe(F.col("_class"))).dropDuplicates(["_node"]).drop("_class", "_node")
-    return kept.unionByName(marked.where("_node is null").drop("_node")).toDF(*names)
+    def marked(linked: bool) -> DataFrame:
+        return add_columns(safe, [text, ident], "_node decimal(38,0)", lambda: start(linked))
+
+    # what surely has no link stays where it is; the rest is joined with the winner of its class, the smallest node of those with its smallest id
+    winners = classes.where(F.col("first").eqNullSafe(F.col("class_id"))).groupBy("component").agg(F.min("node").alias("_node"), F.min("class_id").alias("_class")).drop("component")
+    chosen = marked(True).join(winners, "_node").where(F.col(ident).eqNullSafe(F.col("_class"))).dropDuplicates(["_node"]).drop("_class", "_node")
+    return marked(False).drop("_node").unionByName(chosen).toDF(*names)
