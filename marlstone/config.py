@@ -44,7 +44,8 @@ def as_float(value: str | None, default: float, low: float | None = None, high:
     except ValueError:
         x = default
     x = x if math.isfinite(x) else default
-    return min(max(x, low if low is not None else x), high if high is not None else x)
+    x = x if low is None else max(x, low)
+    return x if high is None else min(x, high)
 
 
 def as_ratio(value: str | None, default: float) -> float:
