@@ -59,6 +59,7 @@ class _Rules:
     def __init__(self, table=TABLE):
         self.tokens: dict[str, str] = {}
         self.ordered: list[tuple[str, re.Pattern, re.Pattern | None]] = []
+        self._all: list[str] = []
         for label, two, three, regions, names in table:
             codes, places, words = three.split(), regions.split(), names.split()
             for entry in [two, *codes, *words, *places]:
@@ -69,8 +70,12 @@ class _Rules:
             free = "|".join(re.escape(w).replace(r"\-", r"[ ._-]?(?:\(?)") for w in sorted(words, key=len, reverse=True))
             where = "|".join(re.escape(p).replace(r"\-", "[-_]") for p in places if "-" in p)
             word = re.compile(rf"(?<![a-z])(?:{free}{'|' + where if where else ''})(?![a-z])", re.IGNORECASE)
+            self._all.append(f"(?i:{word.pattern})")
             caps = [re.escape(c.upper()).replace(r"\-", "[-_]") for c in sorted([*codes, *places], key=len, reverse=True) if c not in _ENTRY_ONLY]
             self.ordered.append((label, word, re.compile(rf"(?<![A-Za-z0-9])(?:{'|'.join(caps)})(?![A-Za-z0-9])") if caps else None))
+            if caps:
+                self._all.append(self.ordered[-1][2].pattern)
+        self.any = re.compile("|".join(self._all))
 
 
 RULES = _Rules()
@@ -79,6 +84,8 @@ RULES = _Rules()
 def in_text(text: str, *, codes: bool = True, rules: _Rules = RULES) -> list[str]:
     """Languages named in free text. Rules go in order and take what they match, so that a variety isn't also counted as its language."""
     found, rest = set(), text or ""
+    if not rules.any.search(rest):
+        return []
     for label, words, caps in rules.ordered:
         for pattern in (words, caps if codes else None):
             if pattern is not None and pattern.search(rest):
@@ -128,8 +135,7 @@ def labels_of(value: object, rules: _Rules = RULES) -> list[str]:
     return sorted({label for e in _entries(value) for label in entry_labels(e, rules)})
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def _labels_udf(values: pd.Series) -> pd.Series:
+def _labels_of_batch(values: pd.Series) -> pd.Series:
     known: dict[object, list[str]] = {}
     out = []
     for v in values:
@@ -141,8 +147,11 @@ def _labels_udf(values: pd.Series) -> pd.Series:
 
 
 def language_labels(c: Column) -> Column:
-    """Canonical labels of a text or array column. Free text is consumed rule by rule, which columns can't express, so this is one Arrow function."""
-    return _labels_udf(c)
+    """Canonical labels of a text or array column. Free text is consumed rule by rule, which columns can't express, so this is one Arrow function.
+
+    It is marked nondeterministic, so that no filter on it is pushed below and evaluates it twice; give it a column of its own before using it more than once.
+    """
+    return F.pandas_udf(_labels_of_batch, ArrayType(StringType())).asNondeterministic()(c)
 
 
 def token_label(c: Column, table=TABLE) -> Column:

@@ -73,6 +73,7 @@ def normalisation_patch(table: DataFrame, parsed: str, *, key: str = "id", clean
     becomes one; codec and quality become labels; languages become sorted labels, joined with the title's. Null stays where nothing is known.
     """
     p = lambda n: F.col(f"{parsed}.{n}")
+    table = table.withColumn("_labels_audio", language_labels(F.col("audio"))).withColumn("_labels_subtitles", language_labels(F.col("subtitles")))
     kinds = {f.name: f.dataType.simpleString() for f in table.schema.fields}
     label = type_label(F.col("type"))
     overwrite = F.lit(overwrite_type) & (p("type") != label) & (p("type_confidence") >= confidence)
@@ -88,7 +89,7 @@ def normalisation_patch(table: DataFrame, parsed: str, *, key: str = "id", clean
     new["codec"] = (fit("codec", codec), codec.isNotNull() & ~codec.eqNullSafe(F.col("codec")))
     new["quality"] = (fit("quality", quality), quality.isNotNull() & ~quality.eqNullSafe(F.col("quality")))
     for column in ("audio", "subtitles"):
-        labels = language_labels(F.col(column))
+        labels = F.col(f"_labels_{column}")
         labels = union_sorted(labels, p(column)) if merge_languages else labels
         if kinds[column] == "string":
             none, same = F.coalesce(F.col(column), F.lit("")) == "", F.lit(False)
