@@ -54,13 +54,11 @@ class PieceEncoder:
         self._pieces = _Cache(self._spaced, PIECES)
 
     def _spaced(self, x: str) -> bytes:
-        """Ids of a space and ``x``; most are a word of ASCII letters, with a stop after it or not."""
-        words = self._words
-        if x.isascii():
-            if x.isalpha():
-                return words[" " + x]
-            if x[-1:] in _STOPS and x[:-1].isalpha():
-                return words[" " + x[:-1]] + words[x[-1]]
+        """Ids of a space and ``x``; most are a word of Latin letters, with a stop after it or not."""
+        body = x[:-1] if x[-1:] in _STOPS else x
+        if body.isalpha() and (body.isascii() or _LATIN.match(body)):
+            word = self._words[" " + body]
+            return word if body is x else word + self._words[x[-1]]
         return self._piece(" " + x)
 
     def _piece(self, x: str) -> bytes:
@@ -73,11 +71,11 @@ class PieceEncoder:
         return np.frombuffer(self._piece(head) + b"".join(map(self._pieces.__getitem__, rest)), np.uint32)
 
 
-def _byte_letters() -> dict[int, str]:
-    """How byte-level vocabularies write bytes: visible ones as they are, the others as the characters from 256 on."""
+def _byte_letters() -> list[str]:
+    """How byte-level vocabularies write each byte: visible ones as they are, the others as the characters from 256 on."""
     shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
     hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
 
 
 def hf_encoder(path: str) -> PieceEncoder:
@@ -90,7 +88,7 @@ def hf_encoder(path: str) -> PieceEncoder:
 
     def word(x: str) -> list[int]:
         body = x[1:]
-        written = f"Ġ{body}" if x[0] == " " and body.isalpha() and body.isascii() else x.encode().decode("latin-1").translate(letters)
+        written = f"Ġ{body}" if x[0] == " " and body.isalpha() and body.isascii() else "".join(map(letters.__getitem__, x.encode()))
         return [y.id for y in merge(written)]
 
     return PieceEncoder(word, lambda x: t.encode(x, add_special_tokens=False).ids)
