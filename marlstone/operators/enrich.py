@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.release import variants
 from ..functions.text import adjusted_score, best_similarity, search_key
 
 ID_COLUMNS = ("imdb_id", "tmdb_id", "anilist_id", "kitsu_id", "mal_id")
@@ -113,29 +114,63 @@ def with_block(df: DataFrame, title: Column, name: str = "block") -> DataFrame:
     return df.withColumn(name, F.split(search_key(title), " ")[0])
 
 
+def attempts_of(works: DataFrame, *, only_season: bool = False, with_year_first: bool = False) -> DataFrame:
+    """(work, kind, attempt, query, year): a row for each title variant, the most specific first; with_year_first: all of them with the year, then all without.
+
+    works: work, kind, title, year and, if there, season.
+    """
+    season = F.col("season").cast("int") if "season" in works.columns else F.lit(None).cast("int")
+    titles = variants(F.col("title"), season, F.col("kind") == "anime", only_season=only_season)
+    each = works.select("work", "kind", F.posexplode(titles).alias("attempt", "query"), F.col("year").cast("int").alias("year"))
+    if with_year_first:
+        later = each.where("year is not null").select("work", "kind", (F.col("attempt") + 100).alias("attempt"), "query", F.lit(None).cast("int").alias("year"))
+        return each.unionByName(later)
+    return each
+
+
+#: Catalogues searched by title: the id they give, the kinds they have, and how years count there.
+SEARCHES = (
+    ("tmdb", "tmdb_id", ("movie", "series", "anime"), {"window": 2, "penalty": 0.2, "popularity_bonus": True}),
+    ("anilist", "anilist_id", ("anime",), {}),
+    ("kitsu", "kitsu_id", ("anime",), {}),
+)
+
+
 def resolve(works: DataFrame, search: DataFrame, bridge: DataFrame, find: DataFrame, external: DataFrame, *, min_score: float = 0.6) -> DataFrame:
     """``works`` with ids resolved, ``ids_source`` and ``ids_confidence``.
 
-    By imdb id, then by title (TMDB for films and series; for anime the bridge where an id is known, else AniList by title and the bridge from it), then the imdb id behind the tmdb id.
-    works: work, kind, title, year and the id columns.
+    Exact ways first: the tmdb id behind the imdb id, and the bridge for anime with an id. What is left is searched by title, each catalogue for the works that still lack its
+    id: TMDB with the year and then without, AniList and Kitsu (one entry a season) by season variants. An AniList hit leads over the bridge to the other anime ids, and the tmdb id to
+    the imdb id. works: work, kind, title, year, the id columns, and season if there.
     """
-    w = find_by_imdb(works, find).withColumn("tmdb_id", F.coalesce("tmdb_id", "found_tmdb_id")).withColumn("_exact", F.col("found_tmdb_id").isNotNull())
-    for source, kinds, target, tmdb in (("tmdb", ("movie", "series", "anime"), "tmdb_id", True), ("anilist", ("anime",), "anilist_id", False)):
-        open_ = w.where(F.col("kind").isin(*kinds) & F.col(target).isNull()).select("work", "kind", F.lit(0).alias("attempt"), F.col("title").alias("query"), "year")
+    w = find_by_imdb(works, find).withColumn("tmdb_id", F.coalesce("tmdb_id", "found_tmdb_id")).withColumn("_exact", F.col("found_tmdb_id").isNotNull()).withColumn("_bridged", F.lit(False))
+
+    def bridged(w: DataFrame) -> DataFrame:
+        w = by_external_id(w, bridge, "anilist/anime", "anilist_id").withColumnRenamed("bridged_kitsu_id", "_k1")
+        w = by_external_id(w, bridge, "myanimelist/anime", "mal_id").withColumnRenamed("bridged_kitsu_id", "_k2")
+        w = w.withColumn("_new", F.col("kitsu_id").isNull() & F.coalesce("_k1", "_k2").isNotNull()).withColumn("kitsu_id", F.coalesce("kitsu_id", "_k1", "_k2"))
+        w = ids_of_kitsu(w, bridge).withColumn("_new", F.col("_new") | (F.col("mal_id").isNull() & F.col("bridged_mal_id").isNotNull()) | (F.col("anilist_id").isNull() & F.col("bridged_anilist_id").isNotNull()))
+        w = w.withColumn("mal_id", F.coalesce("mal_id", "bridged_mal_id")).withColumn("anilist_id", F.coalesce("anilist_id", "bridged_anilist_id"))
+        return w.withColumn("_bridged", F.col("_bridged") | F.col("_new")).drop("_k1", "_k2", "_new", "bridged_mal_id", "bridged_anilist_id")
+
+    w = bridged(w)
+    for source, target, kinds, options in SEARCHES:
+        films = source == "tmdb"
+        tried = with_block(attempts_of(w.where(F.col("kind").isin(*kinds) & F.col(target).isNull()), only_season=not films, with_year_first=films), F.col("query"))
         titles = search.where(F.col("source") == source).withColumn("titles", F.concat(F.array("title"), F.coalesce("alt_titles", F.array().cast("array<string>"))))
-        tried = with_block(open_, F.col("query"))
-        if tmdb:
+        titles = with_block(titles, F.col("title"))
+        if films:
             own = F.when(F.col("kind") == "movie", "movie").otherwise("tv")
-            tried, titles = tried.withColumn("block", F.concat_ws("|", own, "block")), with_block(titles, F.col("title")).withColumn("block", F.concat_ws("|", "kind", "block"))
-        else:
-            titles = with_block(titles, F.col("title"))
-        hit = best_match(tried, titles, block="block", min_score=min_score, window=2 if tmdb else 3, penalty=0.2 if tmdb else 0.15, popularity_bonus=tmdb)
-        w = w.join(hit.select("work", F.col("work_id").alias(f"_{source}_id"), F.col("match_score").alias(f"_{source}_score")), "work", "left").withColumn(target, F.coalesce(target, f"_{source}_id"))
-    w = by_external_id(w, bridge, "anilist/anime", "anilist_id").withColumn("kitsu_id", F.coalesce("kitsu_id", "bridged_kitsu_id"))
-    w = ids_of_kitsu(w, bridge).withColumn("mal_id", F.coalesce("mal_id", "bridged_mal_id")).withColumn("anilist_id", F.coalesce("anilist_id", "bridged_anilist_id"))
-    w = external_ids(w, external).withColumn("imdb_id", F.coalesce("imdb_id", F.when(F.col("found_imdb_id").rlike("^tt[0-9]+$"), F.col("found_imdb_id"))))
-    used = F.concat_ws("+", F.when(F.col("_exact") | F.col("_tmdb_id").isNotNull() | F.col("found_imdb_id").isNotNull(), "tmdb"), F.when(F.col("_anilist_id").isNotNull(), "anilist"), F.when(F.col("bridged_kitsu_id").isNotNull() | F.col("bridged_mal_id").isNotNull(), "kitsu"))
-    sure = F.greatest(F.when(F.col("_exact"), 1.0), F.col("_tmdb_score"), F.col("_anilist_score"))
+            tried, titles = tried.withColumn("block", F.concat_ws("|", own, "block")), titles.withColumn("block", F.concat_ws("|", "kind", "block"))
+        hit = best_match(tried, titles, block="block", min_score=min_score, **options).select("work", F.col("work_id").alias(f"_{source}_id"), F.col("match_score").alias(f"_{source}_score"))
+        w = w.join(hit, "work", "left").withColumn(target, F.coalesce(target, f"_{source}_id"))
+        if source == "anilist":
+            w = bridged(w)
+    w = external_ids(w, external)
+    found = F.col("imdb_id").isNull() & F.col("found_imdb_id").rlike("^tt[0-9]+$")
+    w = w.withColumn("_by_tmdb", F.col("_exact") | F.col("_tmdb_id").isNotNull() | F.coalesce(found, F.lit(False))).withColumn("imdb_id", F.when(found, F.col("found_imdb_id")).otherwise(F.col("imdb_id")))
+    used = F.concat_ws("+", F.when(F.col("_by_tmdb"), "tmdb"), F.when(F.col("_anilist_id").isNotNull(), "anilist"), F.when(F.col("_bridged") | F.col("_kitsu_id").isNotNull(), "kitsu"))
+    sure = F.greatest(F.when(F.col("_exact"), 1.0), F.col("_tmdb_score"), F.col("_anilist_score"), F.col("_kitsu_score"))
     return w.select(*works.columns, F.when(used == "", "none").otherwise(used).alias("ids_source"), F.round(sure, 3).alias("ids_confidence"))
 
 

@@ -86,7 +86,7 @@ def enrich_step(table: DataFrame, c: Config, ws: Workspace, extras: Mapping) ->
     base = table.withColumn("_p", p)
     ids = {n: F.col(n) for n in enrich.ID_COLUMNS}
     kind = F.coalesce(type_label(F.col("type")), F.col("_p.type"))
-    rows = base.select("id", *enrich.ID_COLUMNS, kind.alias("kind"), F.col("_p.search_key").alias("search_key"), F.col("_p.clean_title").alias("title"), F.coalesce(F.col("_p.year")).alias("year"), F.coalesce(F.col("season").cast("int"), F.col("_p.season")).alias("season"), policies.needed_ids(kind, ids, has_tmdb=c.has_tmdb, tmdb_for_anime=c.tmdb_for_anime).alias("needed"), *([F.col("ids_attempts")] if enrich.has_telemetry(table) else []))
+    rows = base.select("id", *enrich.ID_COLUMNS, kind.alias("kind"), F.col("_p.search_key").alias("search_key"), F.col("_p.clean_title").alias("title"), F.col("_p.year").alias("year"), F.coalesce(F.col("season").cast("int"), F.col("_p.season")).alias("season"), policies.needed_ids(kind, ids, has_tmdb=c.has_tmdb, tmdb_for_anime=c.tmdb_for_anime).alias("needed"), *([F.col("ids_attempts")] if enrich.has_telemetry(table) else []))
     due = F.lit(True)
     if enrich.has_telemetry(table):
         rows = rows.join(table.select("id", "ids_checked_at"), "id")
@@ -96,7 +96,7 @@ def enrich_step(table: DataFrame, c: Config, ws: Workspace, extras: Mapping) ->
     resolved = None
     if extras:
         tasks = enrich.lookup_budget(groups, c.max_lookups).withColumn("title", F.col("search_key"))
-        resolved = ws.save(enrich.resolve(tasks.select("work", "kind", "title", "year", *enrich.ID_COLUMNS), extras["search"], extras["bridge"], extras["find"], extras["external"], min_score=c.min_similarity), "resolved")
+        resolved = ws.save(enrich.resolve(tasks.select("work", "kind", "title", "year", "season", *enrich.ID_COLUMNS), extras["search"], extras["bridge"], extras["find"], extras["external"], min_score=c.min_similarity), "resolved")
         groups = groups.drop(*enrich.ID_COLUMNS).join(resolved.select("work", *enrich.ID_COLUMNS), "work", "left").join(groups.select("work", *[F.col(i).alias(f"_o_{i}") for i in enrich.ID_COLUMNS]), "work").select("work", *[F.coalesce(i, f"_o_{i}").alias(i) for i in enrich.ID_COLUMNS])
     keys = enrich.work_key(F.col("kind"), F.col("search_key"), F.col("_y"), F.col("season"))
     same = rows.join(ws.spark.read.parquet(ws.path("works")).groupBy(F.col("kind").alias("_k"), F.col("search_key").alias("_t"), F.coalesce("season", F.lit(0)).alias("_s")).agg(F.min("year").alias("_low"), F.max("year").alias("_high")), (F.col("kind") == F.col("_k")) & (F.col("search_key") == F.col("_t")) & (F.when((F.col("kind") == "anime") & (F.col("season") > 1), F.col("season")).otherwise(0) == F.col("_s")))

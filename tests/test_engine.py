@@ -218,6 +218,22 @@ def test_enrich_with_catalogues(spark):
     assert not enrich.has_telemetry(table) and enrich.has_telemetry(with_telemetry(table))
 
 
+def test_cascade_for_anime(spark):
+    works = spark.createDataFrame([("a", "anime", "Paper Lanterns", None, 2, None, None, None, None, None), ("b", "anime", "Glass Sea", 2010, None, None, None, 31, None, None), ("c", "anime", "Odd One", None, None, None, None, None, None, None), ("d", "movie", "Blue Hill", 1990, None, None, None, None, None, None)], "work string, kind string, title string, year int, season int, imdb_id string, tmdb_id long, anilist_id long, kitsu_id long, mal_id long")
+    search = spark.createDataFrame(
+        [("anilist", "tv", 10, "Paper Lanterns", None, None, 0.0, 0), ("anilist", "tv", 11, "Paper Lanterns 2nd Season", None, None, 0.0, 1), ("kitsu", "tv", 77, "Odd One", ["Odd 1"], None, 0.0, 0), ("tmdb", "movie", 5, "Blue Hill", None, 2001, 0.0, 0), ("tmdb", "tv", 9, "Glass Sea", None, 2010, 0.0, 0)],
+        "source string, kind string, work_id long, title string, alt_titles array<string>, year int, popularity double, rank int",
+    )
+    bridge = spark.createDataFrame([("anilist/anime", 11, 110), ("myanimelist/anime", 12, 110), ("anilist/anime", 31, 310), ("myanimelist/anime", 32, 310)], "site string, external_id long, kitsu_id long")
+    find, external = spark.createDataFrame([], "imdb_id string, kind string, tmdb_id long"), spark.createDataFrame([("tv", 9, "tt9"), ("movie", 5, "bad")], "kind string, tmdb_id long, imdb_id string")
+    got = {r.work: r for r in enrich.resolve(works, search, bridge, find, external).collect()}
+    assert (got["a"].anilist_id, got["a"].kitsu_id, got["a"].mal_id, got["a"].ids_source) == (11, 110, 12, "anilist+kitsu")  # the season's entry, not the title's
+    assert (got["b"].anilist_id, got["b"].kitsu_id, got["b"].mal_id, got["b"].tmdb_id, got["b"].imdb_id) == (31, 310, 32, 9, "tt9") and got["b"].ids_source == "tmdb+kitsu"
+    assert (got["c"].kitsu_id, got["c"].anilist_id, got["c"].ids_source, got["c"].ids_confidence) == (77, None, "kitsu", 1.0)
+    assert (got["d"].tmdb_id, got["d"].imdb_id, got["d"].ids_source) == (5, None, "tmdb")  # first with its year, which is too far, then without
+    assert enrich.attempts_of(works.where("work = 'd'"), with_year_first=True).count() == 2
+
+
 def test_config():
     assert as_ratio("95", 0.5) == 0.95 and as_ratio("-1", 0.5) == 0.5 and as_ratio("x", 0.5) == 0.5
     assert choose_steps("dedupe, ADULT,zzz") == (("adult", "dedupe"), ("zzz",))
