@@ -27,10 +27,10 @@ def _floor(shift: float) -> tuple[tuple[float, float], ...]:
 
 #: Bands by the language of a row, set on the labelled rows of the small tables.
 LANGUAGES: Mapping[str, Band] = {
-    "en": Band((2.38, 6.5), 0.03, _floor(0.0)),
-    "de": Band((2.38, 6.5), 0.05, _floor(-0.12)),
-    "es": Band((2.20, 6.5), 0.05, _floor(-0.12)),
-    "fr": Band((2.20, 6.5), 0.05, _floor(-0.12)),
+    "en": Band((2.0, 6.5), 0.03, _floor(0.0)),
+    "de": Band((2.0, 6.5), 0.05, _floor(-0.12)),
+    "es": Band((1.85, 6.5), 0.05, _floor(-0.12)),
+    "fr": Band((1.85, 6.5), 0.05, _floor(-0.12)),
 }
 #: For other languages by script; a vocabulary covers scripts unevenly, so these are wide.
 SCRIPTS: Mapping[str, Band] = {
