@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import re
 from array import array
+from functools import lru_cache
 
 import numpy as np
 
@@ -20,7 +21,7 @@ _CUT = re.compile(r" (?=[!-~¡-ᙿ])")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+| ?[0-9²³¹¼-¾]+| ?[^\sA-Za-zªµºÀ-ÖØ-öø-ɏ0-9²³¹¼-¾]+|\s+(?!\S)|\s+")
 _LATIN = re.compile(r"[\t\n\r -~¡-ɏ]*\Z")
 #: Bounds of the caches: entries, and characters of what is kept.
-PIECES, WORDS, LENGTH = 150_000, 500_000, 48
+PIECES, WORDS, LENGTH = 100_000, 250_000, 48
 _STOPS = frozenset(",.;:!?")
 
 
@@ -78,8 +79,9 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
 
 
+@lru_cache(maxsize=1)
 def hf_encoder(path: str) -> PieceEncoder:
-    """For a byte-level vocabulary file of the tokenizers library; the strings of special tokens are ordinary text."""
+    """For a byte-level vocabulary file of the tokenizers library; the strings of special tokens are ordinary text. One a process, for all its tasks: its caches are bounded and stay warm."""
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
@@ -94,8 +96,9 @@ def hf_encoder(path: str) -> PieceEncoder:
     return PieceEncoder(word, lambda x: t.encode(x, add_special_tokens=False).ids)
 
 
+@lru_cache(maxsize=1)
 def rank_encoder(path: str) -> tuple[PieceEncoder, np.ndarray]:
-    """For a tiktoken rank file; also which ids are no whole characters by themselves (byte fallback)."""
+    """For a tiktoken rank file; also which ids are no whole characters by themselves (byte fallback). One a process."""
     import public_tokenizers
     import tiktoken
 
