@@ -38,7 +38,8 @@ def work_roots(rows: DataFrame, ws: Workspace, *, key: str = "id", ids: str = "i
 
     The graph is built of distinct pairs of ids, not of rows; a row with many ids adds a chain.
     """
-    own = rows.select(F.col(key), F.col(ids).alias("_ids"), *( [F.col(alias).alias("_alias")] if alias else [F.lit(None).cast("string").alias("_alias")]))
+    name = F.col(alias) if alias else F.lit(None).cast("string")
+    own = rows.select(F.col(key), F.col(ids).alias("_ids"), name.alias("_alias"))
     pairs = own.where(F.size("_ids") > 1).select(F.explode(F.transform(F.sequence(F.lit(1), F.size("_ids") - 1), lambda i: F.struct(F.element_at("_ids", i).alias("a"), F.element_at("_ids", i + 1).alias("b")))).alias("e"))
     labels = connected_components(pairs.select("e.a", "e.b").distinct(), "a", "b", ws, "work")
     first = own.withColumn("_first", F.when(F.size("_ids") > 0, F.element_at("_ids", 1)))
