@@ -526,6 +526,13 @@ def connected_components_of_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return connected_components(e, "a", "b", Workspace(spark, "cc"))
 
 
+@_query("")  # a recursive reach is too slow on the whole graph; the tests hold it against a union-find
+def connected_components_of_all_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and parts that line items join: every line item."""
+    e = _t(spark, sf_dir, "lineitem").select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("a"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("b"))
+    return connected_components(e, "a", "b", Workspace(spark, "cc-all"))
+
+
 def _identified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as rows with ids (or none) and an alias of name and brand."""
     k = F.col("p_partkey")
