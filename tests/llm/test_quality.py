@@ -65,3 +65,27 @@ def test_keep_quality(spark):
 
 def test_script():
     assert [quality.script(x) for x in ("abc é", "Привет a", "αβγ", "日本", "123", "")] == ["latin", "cyrillic", "greek", "other", "other", "other"]
+
+
+def test_labelled_rows_without_language(spark):
+    """The script's band judges like those of the languages: clean rows stay, most of the others go."""
+    d = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{d}/documents.parquet").join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang", "quality")
+    rated = quality.rate_quality(docs, vocabulary("byte_bpe_multi_50k.tiktoken")).join(docs.select("doc_id", "quality"), "doc_id")
+    n = {(r.quality, r.kept): r["count"] for r in rated.where("not base_failed").groupBy("quality", "kept").count().collect()}
+    assert n.get((1, False), 0) <= 0.002 * n[1, True]
+    assert n.get((0, True), 0) <= 0.15 * n[0, False]
+
+
+def test_scripts_can_reject():
+    """Prose of other scripts is in its band; symbols and characters at random are not."""
+    enc, part = vocab.rank_encoder(vocabulary("byte_bpe_multi_50k.tiktoken"))
+
+    def kept(text):
+        ids = enc.encode(text)
+        return quality.in_band(quality.SCRIPTS[quality.script(text)], len(ids), *quality.fertility(ids, part, len(text)))
+
+    assert kept("每天早晨，老渔夫都会走到海边，看着太阳从水面上升起。他想起在遥远港口度过的岁月，想起许久未见的朋友，还有那些没有回复的信。")
+    assert kept("Каждое утро старый рыбак выходил к морю и смотрел, как солнце поднимается над водой. Он вспоминал годы, проведённые в далёких портах.")
+    assert not kept("≈≠≤≥∑∏√∞" * 30) and not kept("🙂🙃😀🎉🔥" * 30)
+    assert not kept("".join(chr(c) for c in np.random.default_rng(0).integers(0x4E00, 0x9FFF, 300)))
