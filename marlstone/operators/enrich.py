@@ -114,6 +114,12 @@ def with_block(df: DataFrame, title: Column, name: str = "block") -> DataFrame:
     return df.withColumn(name, F.split(search_key(title), " ")[0])
 
 
+def with_blocks(df: DataFrame, titles: Column, name: str = "block") -> DataFrame:
+    """A row for each word of the search keys of any of ``titles``: titles that share a word, wherever it stands, meet. Rows without a word are left out, since they score 0."""
+    words = F.flatten(F.transform(F.filter(titles, lambda t: t.isNotNull()), lambda t: F.split(search_key(t), " ")))
+    return df.withColumn(name, F.explode(F.array_distinct(F.filter(words, lambda w: w != ""))))
+
+
 def attempts_of(works: DataFrame, *, only_season: bool = False, with_year_first: bool = False) -> DataFrame:
     """(work, kind, attempt, query, year): a row for each title variant, the most specific first; with_year_first: all of them with the year, then all without.
 
@@ -156,9 +162,9 @@ def resolve(works: DataFrame, search: DataFrame, bridge: DataFrame, find: DataFr
     w = bridged(w)
     for source, target, kinds, options in SEARCHES:
         films = source == "tmdb"
-        tried = with_block(attempts_of(w.where(F.col("kind").isin(*kinds) & F.col(target).isNull()), only_season=not films, with_year_first=films), F.col("query"))
+        tried = with_blocks(attempts_of(w.where(F.col("kind").isin(*kinds) & F.col(target).isNull()), only_season=not films, with_year_first=films), F.array("query"))
         titles = search.where(F.col("source") == source).withColumn("titles", F.concat(F.array("title"), F.coalesce("alt_titles", F.array().cast("array<string>"))))
-        titles = with_block(titles, F.col("title"))
+        titles = with_blocks(titles, F.col("titles"))
         if films:
             own = F.when(F.col("kind") == "movie", "movie").otherwise("tv")
             tried, titles = tried.withColumn("block", F.concat_ws("|", own, "block")), titles.withColumn("block", F.concat_ws("|", "kind", "block"))

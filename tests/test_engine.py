@@ -279,3 +279,15 @@ def test_episode_keys(spark):
     assert values(spark, identity.whole_number, ["1.5", "-1.5", "09", "x", None, "inf", ""]) == [1, -1, 9, None, None, None, None]
 
 
+
+
+def test_resolve_by_alias_and_by_later_words(spark):
+    """A work is found by an alt title that starts otherwise, and by a title whose first word differs."""
+    queries = {1: "Hollow Lantern Road", 2: "Copper Rivr Crossing", 3: "Nothing Alike"}
+    works = spark.createDataFrame([(i, "movie", q, None, None, None, None, None, None) for i, q in queries.items()], "work long, kind string, title string, year int, imdb_id string, tmdb_id long, anilist_id long, kitsu_id long, mal_id long")
+    search = spark.createDataFrame([("tmdb", "movie", 11, "Attack of Giants", ["Hollow Lantern Road"], None, 0.0, 0), ("tmdb", "movie", 12, "The 2 Coper River Crossing", None, None, 0.0, 0)], "source string, kind string, work_id long, title string, alt_titles array<string>, year int, popularity double, rank int")
+    bridge = spark.createDataFrame([], "site string, external_id long, kitsu_id long")
+    find = spark.createDataFrame([], "imdb_id string, kind string, tmdb_id long")
+    external = spark.createDataFrame([], "kind string, tmdb_id long, imdb_id string")
+    got = {r.work: (r.tmdb_id, r.ids_confidence) for r in enrich.resolve(works, search, bridge, find, external).collect()}
+    assert got[1] == (11, 1.0) and got[2][0] == 12 and got[3][0] is None
