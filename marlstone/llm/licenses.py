@@ -25,6 +25,31 @@ NOTICES: Mapping[str, str] = {
     "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
 }
 
+_GNU = "This work is licensed under the GNU {}General Public License, version {}."
+_GNU_HEADER = NOTICES["GPL-3.0-header"]
+_CC = {"BY": "BY", "BY-SA": "BY-SA", "BY-ND": "BY-ND", "BY-NC": "BY-NC", "BY-NC-SA": "BY-NC-SA", "BY-NC-ND": "BY-NC-ND"}
+#: Notices that differ from each other in a word or two, by family: of those whose windows overlap the one that fits best stands.
+FAMILIES: Mapping[str, Mapping[str, str]] = {
+    "cc": {f"CC-{k}-{v}": f"Licensed under CC {x} {v}." for k, x in _CC.items() for v in ("2.0", "2.5", "3.0", "4.0")},
+    "gnu": {f"{k}GPL-{v}": _GNU.format(x, v.removesuffix(".0")) for k, x, v in (("", "", "2.0"), ("", "", "3.0"), ("L", "Lesser ", "2.1"), ("L", "Lesser ", "3.0"), ("A", "Affero ", "3.0"))},
+    "gnu-header": {
+        f"{k}GPL-{v}-header": _GNU_HEADER.replace("GNU General", f"GNU {x}General").replace("version 3", f"version {v.removesuffix('.0')}")
+        for k, x, v in (("", "", "2.0"), ("", "", "3.0"), ("L", "Lesser ", "2.1"), ("L", "Lesser ", "3.0"), ("A", "Affero ", "3.0"))
+    },
+    "bsd": {
+        "BSD-2-Clause": NOTICES["BSD-2-Clause"],
+        "BSD-3-Clause": NOTICES["BSD-2-Clause"] + " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    },
+}
+_FAMILY = {name: family for family, members in FAMILIES.items() for name in members}
+NOTICES = {
+    **NOTICES,
+    **{name: text for members in FAMILIES.values() for name, text in members.items()},
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work under CC0 1.0 Universal.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+}
+
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest run of ``pairs`` (sorted by their first) whose seconds rise too, by patience sorting."""
@@ -130,6 +155,17 @@ class Scanner:
                 out.append((name, *best))
         return out
 
+    def choose(self, found: list[tuple[str, float, int, int]]) -> list[tuple[str, float, int, int]]:
+        """What stands of ``found``: of a family's notices at one place those that fit best."""
+        return [x for x in found if not any(self._fits_better(y, x) for y in found)]
+
+    def _fits_better(self, y: tuple, x: tuple) -> bool:
+        """Whether ``y`` is another notice of the family of ``x`` at its place that has more words in the text, less those that are missing there."""
+        if y[0] == x[0] or _FAMILY.get(y[0], y[0]) != _FAMILY.get(x[0], x[0]) or y[2] >= x[3] or x[2] >= y[3]:
+            return False
+        fit = lambda z: round((2 * z[1] - 1) * len(self.notices[z[0]]))
+        return fit(y) > fit(x)
+
     @staticmethod
     def _better(best, words: list[bytes], notice: list[bytes], window: tuple[int, int] | None):
         if window is None:
@@ -157,7 +193,7 @@ def find_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
         def row(text: str | None) -> tuple:
             words = words_of(text)
-            found = scanner.find(words)
+            found = scanner.choose(scanner.find(words))
             if not found:
                 return len(words), 0, None, None, None, None, ""
             name, share, a, b = min(found, key=lambda f: (-f[1], -len(scanner.notices[f[0]]), f[0]))

@@ -58,3 +58,14 @@ def test_bound_loses_no_coverage():
             kept = [w for w in notice if rng.random() < 0.93]
             if lcs(kept, notice) >= 0.8 * len(notice):
                 assert name in [f[0] for f in scanner.find(words_of("before it") + kept + words_of("after it"))]
+
+
+def test_licenses_that_differ_in_a_word():
+    scanner = licenses.Scanner()
+    names = lambda text: [f[0] for f in scanner.choose(scanner.find(words_of("before it " + text + " after it")))]
+    for name in ("BY", "BY-SA", "BY-NC", "BY-NC-ND"):
+        assert names(f"Licensed under CC {name} 4.0.") == [f"CC-{name}-4.0"]
+    assert names("Licensed under CC BY-NC 3.0.") == ["CC-BY-NC-3.0"]
+    gnu = "This work is licensed under the GNU {} Public License, version {}."
+    assert [names(gnu.format(*x)) for x in (("General", 2), ("General", 3), ("Lesser General", 3), ("Affero General", 3))] == [["GPL-2.0"], ["GPL-3.0"], ["LGPL-3.0"], ["AGPL-3.0"]]
+    assert [names(licenses.NOTICES[x]) for x in ("BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "EPL-2.0", "CC0-1.0")] == [["BSD-2-Clause"], ["BSD-3-Clause"], ["MPL-2.0"], ["EPL-2.0"], ["CC0-1.0"]]
