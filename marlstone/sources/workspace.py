@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +22,10 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+#: Spark's setting to delete an execution's shuffle files when it ends.
+_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Workspace:
     """Named Parquet tables below the shared folder.
 
@@ -35,8 +41,19 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    @contextmanager
+    def shuffles_dropped(self) -> Iterator[None]:
+        """Shuffle files of the writes made inside go when each write ends: nothing reads them again."""
+        before = self.spark.conf.get(_SHUFFLES, "false")
+        self.spark.conf.set(_SHUFFLES, "true")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(_SHUFFLES, before)
+
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(self.path(name))
+        with self.shuffles_dropped():
+            df.write.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
