@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,24 +24,28 @@ from .workspace import partitions
 
 MAGIC = b"S8BTOK01"
 _TAIL = struct.Struct("<5Q8s")
-#: Blocks coded at once, and ids from which a file is closed after a document.
-CHUNK, ROLL = 128, 1 << 26
+#: Blocks coded at once; ids, and documents, from which a file is closed after a document.
+CHUNK, ROLL, ROLL_DOCS = 128, 1 << 26, 1 << 22
 _FILES = "pid int, roll int, tmp string, n_docs long, n_tokens long, n_words long"
 _MANIFEST = "name string, start long, n_docs long, n_tokens long, n_words long"
 
 
 class Writer:
-    """Writes one file; holds one chunk of ids and the index."""
+    """Writes one file; holds one chunk of ids and the index, 25 bytes a document."""
 
     def __init__(self, sink, block: int = simple8b.BLOCK):
         self._sink, self._block = sink, block
         self._held: list[np.ndarray] = []
         self._n_held = self.n_tokens = self.n_words = 0
-        self._offsets, self._escaped, self._docs = [], [], []
+        self._offsets, self._escaped = [], []
+        self._ids, self._known, self._starts, self._counts = array("q"), bytearray(), array("Q"), array("Q")
         sink.write(MAGIC + struct.pack("<Q", block))
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self._docs.append((doc_id or 0, doc_id is not None, self.n_tokens, len(ids)))
+        self._ids.append(doc_id or 0)
+        self._known.append(doc_id is not None)
+        self._starts.append(self.n_tokens)
+        self._counts.append(len(ids))
         self.n_tokens += len(ids)
         self._held.append(ids)
         self._n_held += len(ids)
@@ -61,17 +66,16 @@ class Writer:
 
     @property
     def n_docs(self) -> int:
-        return len(self._docs)
+        return len(self._ids)
 
     def close(self) -> None:
         if self._n_held:
             self._code(np.concatenate(self._held))
         offsets = np.concatenate([*self._offsets, [self.n_words]]).astype("<u8")
         escaped = np.concatenate([*self._escaped, []]).astype("<u8")
-        columns = list(zip(*self._docs, strict=True)) if self._docs else [(), (), (), ()]
-        for x, kind in ((offsets, "<u8"), (escaped, "<u8"), (columns[0], "<i8"), (columns[1], "u1"), (columns[2], "<u8"), (columns[3], "<u8")):
+        for x, kind in ((offsets, "<u8"), (escaped, "<u8"), (self._ids, "<i8"), (self._known, "u1"), (self._starts, "<u8"), (self._counts, "<u8")):
             self._sink.write(np.asarray(x, kind).tobytes())
-        self._sink.write(_TAIL.pack(len(offsets), len(escaped), len(self._docs), self.n_tokens, self.n_words, MAGIC))
+        self._sink.write(_TAIL.pack(len(offsets), len(escaped), self.n_docs, self.n_tokens, self.n_words, MAGIC))
         self._sink.close()
 
 
@@ -113,11 +117,11 @@ def read_documents(source) -> Iterator[tuple[int | None, int, int, Iterator[np.n
         yield (int(ids[i]) if known[i] else None), start, n, parts(start, n)
 
 
-def write_tokens(docs: DataFrame, root: str, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, roll: int = ROLL) -> None:
+def write_tokens(docs: DataFrame, root: str, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, roll: int = ROLL, roll_docs: int = ROLL_DOCS) -> None:
     """Encode every whole text with ``tokenizer`` (a byte-level file of the tokenizers library) and write the ids below ``root``, in ascending order of id.
 
     One shuffle range-partitions the texts by id; a task sorts its range, encodes it and writes it as a stream, so a task holds one batch
-    of texts and one chunk of ids. A file closes after the document that brings it to ``roll`` ids. Lost tasks are run again
+    of texts and one chunk of ids. A file closes after the document that brings it to ``roll`` ids or ``roll_docs`` documents. Lost tasks are run again
     under other temporary names.
 
     Defined cases: a null text has the end id alone; rows without an id come first; rows with equal ids stay together, in the order of their texts; an empty table gives a manifest without files. Other columns aren't read.
@@ -139,7 +143,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str, *, id_col: str = "d
                     out = Writer(fs.open_output_stream(path))
                 text = text.as_py()
                 out.add(doc_id, np.append(encoder.encode(text), end) if text else end)
-                if out.n_tokens >= roll:
+                if out.n_tokens >= roll or out.n_docs >= roll_docs:
                     out.close()
                     done.append((pid, len(done), tmp, out.n_docs, out.n_tokens, out.n_words))
                     out = None

@@ -1,9 +1,8 @@
-"""Public tokenizers with caches of pieces and words.
+"""Public tokenizers with caches of words.
 
-Both byte-level vocabularies cut a text by the same pattern before merging, and that pattern always starts a new word at a
-single space that a visible character follows. So a text is the concatenation of such pieces, a piece is one of the words that
-the pattern cuts it into, and the library merges each word by itself. Equal pieces and words are encoded once; the ids are
-exactly those of the whole text. Pieces with characters outside the Latin blocks go to the library uncut.
+Both byte-level vocabularies cut a text into words by the same pattern before merging, and merge each word by itself. So a text of Latin letters is cut
+by that pattern here, and equal words are encoded once; the ids are exactly those of the whole text. The pattern always starts a new word at a single space that a visible
+character follows: other texts are cut there, and pieces with characters outside the Latin blocks go to the library uncut.
 """
 
 from __future__ import annotations
@@ -15,61 +14,52 @@ from functools import lru_cache
 
 import numpy as np
 
-_OTHER = re.compile(r" (?![!-~¡-ᙿ])")
 _CUT = re.compile(r" (?=[!-~¡-ᙿ])")
 #: The pattern of both vocabularies for texts of ASCII and Latin letters (fixed values; the ranges are the letters of these blocks).
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+| ?[0-9²³¹¼-¾]+| ?[^\sA-Za-zªµºÀ-ÖØ-öø-ɏ0-9²³¹¼-¾]+|\s+(?!\S)|\s+")
 _LATIN = re.compile(r"[\t\n\r -~¡-ɏ]*\Z")
-#: Bounds of the caches: entries, and characters of what is kept.
-PIECES, WORDS, LENGTH = 100_000, 250_000, 48
-_STOPS = frozenset(",.;:!?")
-
-
-def pieces(text: str) -> list[str]:
-    """Parts of ``text``; all but the first had one space before them, which isn't returned."""
-    return _CUT.split(text) if _OTHER.search(text) else text.split(" ")
+#: Bounds of the caches: entries of the newer half (the older half has as many), and characters of what is kept.
+PIECES, WORDS, LENGTH = 20_000, 180_000, 48
 
 
 class _Cache(dict):
-    """Makes what is missing; starts afresh when full."""
+    """Makes what is missing. When full, what is there becomes the older half, from which used entries come back."""
 
     def __init__(self, make, bound: int):
         super().__init__()
-        self._make, self._bound = make, bound
+        self._make, self._bound, self._older = make, bound, {}
 
     def __missing__(self, key: str) -> bytes:
-        made = self._make(key)
+        made = self._older.get(key)
+        if made is None:
+            made = self._make(key)
         if len(key) <= LENGTH:
             if len(self) >= self._bound:
+                self._older = dict(self)
                 self.clear()
             self[key] = made
         return made
 
 
 class PieceEncoder:
-    """``encode`` gives the ids of a text as uint32. word: the library's ids of one word; text: of any string."""
+    """``encode`` gives the ids of a text as uint32. word: the library's ids of one word; text: of any string; whole: strings that make the library treat a whole text otherwise."""
 
-    def __init__(self, word, text):
-        self._text = text
+    def __init__(self, word, text, whole: tuple[str, ...] = ()):
+        self._text, self._whole = text, whole
         self._words = _Cache(lambda x: array("I", word(x)).tobytes(), WORDS)
-        self._pieces = _Cache(self._spaced, PIECES)
-
-    def _spaced(self, x: str) -> bytes:
-        """Ids of a space and ``x``; most are a word of Latin letters, with a stop after it or not."""
-        body = x[:-1] if x[-1:] in _STOPS else x
-        if body.isalpha() and (body.isascii() or _LATIN.match(body)):
-            word = self._words[" " + body]
-            return word if body is x else word + self._words[x[-1]]
-        return self._piece(" " + x)
+        self._pieces = _Cache(lambda x: array("I", text(x)).tobytes(), PIECES)
 
     def _piece(self, x: str) -> bytes:
-        if _LATIN.match(x):
-            return b"".join(map(self._words.__getitem__, _WORDS.findall(x)))
-        return array("I", self._text(x)).tobytes()
+        return b"".join(map(self._words.__getitem__, _WORDS.findall(x))) if _LATIN.match(x) else self._pieces[x]
+
+    def _cut(self, text: str) -> bytes:
+        head, *rest = _CUT.split(text)
+        return self._piece(head) + b"".join(self._piece(" " + x) for x in rest)
 
     def encode(self, text: str) -> np.ndarray:
-        head, *rest = pieces(text)
-        return np.frombuffer(self._piece(head) + b"".join(map(self._pieces.__getitem__, rest)), np.uint32)
+        if any(x in text for x in self._whole):
+            return np.array(self._text(text), np.uint32)
+        return np.frombuffer(self._piece(text) if _LATIN.match(text) else self._cut(text), np.uint32)
 
 
 def _byte_letters() -> list[str]:
@@ -81,11 +71,11 @@ def _byte_letters() -> list[str]:
 
 @lru_cache(maxsize=1)
 def hf_encoder(path: str) -> PieceEncoder:
-    """For a byte-level vocabulary file of the tokenizers library; the strings of special tokens are ordinary text. One a process, for all its tasks: its caches are bounded and stay warm."""
+    """For a byte-level vocabulary file of the tokenizers library; texts with the string of an added token go to it whole, since it takes these out first. One a process, for all its tasks: its caches are bounded and stay warm."""
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    added = tuple(x.content for x in t.get_added_tokens_decoder().values())
     merge, letters = t.model.tokenize, _byte_letters()
 
     def word(x: str) -> list[int]:
@@ -93,7 +83,7 @@ def hf_encoder(path: str) -> PieceEncoder:
         written = f"Ġ{body}" if x[0] == " " and body.isalpha() and body.isascii() else "".join(map(letters.__getitem__, x.encode()))
         return [y.id for y in merge(written)]
 
-    return PieceEncoder(word, lambda x: t.encode(x, add_special_tokens=False).ids)
+    return PieceEncoder(word, lambda x: t.encode(x, add_special_tokens=False).ids, added)
 
 
 @lru_cache(maxsize=1)
