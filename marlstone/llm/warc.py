@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from .commit import commit, manifest, open_fs, temporary
 from .workspace import Workspace, partitions
 
-#: Raw payload bytes of a shard, compressed bytes at which a file is closed, and the date of every record.
-SHARD, ROLL, DATE = 64 << 20, 256 << 20, "2024-01-01T00:00:00Z"
+#: Least and most raw bytes of a shard, what a record's headers count for, compressed bytes at which a file is closed, and the date of every record.
+SHARD_LEAST, SHARD_MOST, HEADERS, ROLL, DATE = 128 << 20, 1 << 30, 700, 32 << 20, "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _FILES = "shard int, roll int, tmp string, n_records long, n_bytes long, sha256 string"
 _MANIFEST = "name string, n_records long, n_bytes long, sha256 string"
@@ -35,21 +35,25 @@ def _clean(value: str) -> str:
     return value.replace("\r", "%0D").replace("\n", "%0A")
 
 
-def record(kind: str, page_id: int | None, url: str | None, payload: bytes, refers_to: int | None = None) -> bytes:
-    """One WARC/1.1 record as a gzip member. All headers are made afresh; equal input gives equal bytes."""
+def _record_id(kind: str, page_id: int | None, digest: str, copy: int) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {kind} {digest} {copy}')}>"
+
+
+def record(kind: str, page_id: int | None, url: str | None, payload: bytes, refers_to: int | None = None, copy: int = 0) -> bytes:
+    """One WARC/1.1 record as a gzip member. All headers are made afresh; equal input gives equal bytes. copy: how many records of this id and payload are before it."""
     digest = _sha1(payload)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if kind == "revisit" else http + payload
-    ident = uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id}\n{url}\n{kind}\n{digest}")
     head = {
         "WARC-Type": kind,
-        "WARC-Record-ID": f"<urn:uuid:{ident}>",
+        "WARC-Record-ID": _record_id(kind, page_id, digest, copy),
         "WARC-Date": DATE,
         "WARC-Target-URI": None if url is None else _clean(url),
         "Content-Type": "application/http; msgtype=response",
         "WARC-Block-Digest": f"sha1:{_sha1(block)}",
         "WARC-Payload-Digest": f"sha1:{digest}",
         "WARC-Profile": _PROFILE if kind == "revisit" else None,
+        "WARC-Refers-To": _record_id("response", refers_to, digest, 0) if kind == "revisit" else None,
         "X-Page-ID": page_id,
         "X-Refers-To-Page-ID": refers_to,
         "Content-Length": len(block),
@@ -74,8 +78,8 @@ def read_records(source) -> Iterator[tuple[dict[str, str], bytes]]:
         yield head, block
 
 
-def _shards(narrow: DataFrame, shard_bytes: int, ws: Workspace) -> list[tuple[int, int]]:
-    """First ids of the shards after the first: where the bytes of all records before pass a multiple of ``shard_bytes``.
+def _shards(narrow: DataFrame, shard_bytes: int | None, ws: Workspace) -> list[tuple[int, int]]:
+    """First ids of the shards after the first: where the bytes of all records before pass a multiple of ``shard_bytes``, by default a 64th of all, within bounds.
 
     The cuts depend on the order of ids alone, not on how Spark samples or splits its partitions. Sorted ranges are written, each
     range's sum goes to the driver, then the cuts do: a number for each range and shard.
@@ -89,6 +93,7 @@ def _shards(narrow: DataFrame, shard_bytes: int, ws: Workspace) -> list[tuple[in
     for pid in sorted(sums):
         before.append((pid, total))
         total += sums[pid]
+    shard_bytes = shard_bytes or min(SHARD_MOST, max(SHARD_LEAST, total // 64))
     if total <= shard_bytes:
         return []
     base = spark.createDataFrame(before, "pid int, before long")
@@ -97,19 +102,19 @@ def _shards(narrow: DataFrame, shard_bytes: int, ws: Workspace) -> list[tuple[in
     return sorted((r.first, r.shard) for r in cut.groupBy("shard").agg(F.min("id").alias("first")).collect())
 
 
-def write_warc(pages: DataFrame, root: str, ws: Workspace, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit_bytes: int = 0, shard_bytes: int = SHARD, roll_bytes: int = ROLL) -> None:
+def write_warc(pages: DataFrame, root: str, ws: Workspace, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit_bytes: int = 0, shard_bytes: int | None = None, roll_bytes: int = ROLL) -> None:
     """Write a record for every row of ``pages`` below ``root`` as .warc.gz files.
 
     Of equal payloads of ``min_revisit_bytes`` or more the one with the smallest id is a response, the others are revisits that
-    refer to it; smaller ones are all responses. Records lie in ascending order of id; shards are ranges of ids of about
-    ``shard_bytes`` payload, and inside one a file closes at ``roll_bytes`` compressed bytes. The same pages give the same
+    refer to it; smaller ones are all responses. Records lie in ascending order of id. A file closes at ``roll_bytes`` compressed bytes. What one task writes is a shard: a range of ids of about
+    ``shard_bytes`` raw bytes with headers, a multiple of what closes a file. The same pages give the same
     files, whatever the cluster. Files get their names at the end, and a manifest with their digests makes them count.
 
     Payloads are shuffled once: digests find the copies, and the few columns of a verdict travel to the shard beside the page.
-    Tasks stream; one record is held at a time.
+    Tasks stream; an Arrow batch (bounded in bytes by Spark) and one record are held at a time.
 
-    Defined cases: null html has an empty payload; null ids come first, and refer to nothing; null URLs have no target header;
-    repeated rows are revisits of the first of them; an empty table gives a manifest without files. Other columns aren't read.
+    Defined cases: null html has an empty payload; null ids come first: they revisit the smallest known id of their payload, or else the first of them, with a null
+    refers_to; null URLs have no target header; repeated rows are revisits of the first of them, each with a record id of its own; an empty table gives a manifest without files. Other columns aren't read.
     """
     spark = pages.sparkSession
     data = F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8")
@@ -118,7 +123,7 @@ def write_warc(pages: DataFrame, root: str, ws: Workspace, *, id_col: str = "pag
     # one verdict for each (id, key): its response, and how many rows have it (repeated rows are told apart in the writer)
     groups = narrow.where(F.col("n") >= min_revisit_bytes).groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
     verdicts = narrow.select("id", "key").join(groups, "key").groupBy("id", "key").agg(F.min("first").alias("first"))
-    firsts = _shards(narrow.select("id", "n"), shard_bytes, ws)
+    firsts = _shards(narrow.select("id", (F.col("n") + HEADERS).alias("n")), shard_bytes, ws)
     starts, numbers = np.array([a for a, _ in firsts], np.int64), np.array([0, *(b for _, b in firsts)], np.int64)
 
     @F.pandas_udf("int")
@@ -138,8 +143,8 @@ def write_warc(pages: DataFrame, root: str, ws: Workspace, *, id_col: str = "pag
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[tuple] = []
         out = tmp = digest = None
-        size = count = roll = 0
-        now = verdict = None
+        size = count = roll = copy = 0
+        now = verdict = last = None
 
         def close() -> None:
             nonlocal out, roll
@@ -149,7 +154,7 @@ def write_warc(pages: DataFrame, root: str, ws: Workspace, *, id_col: str = "pag
                 out, roll = None, roll + 1
 
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in ({name: column[k].as_py() for name, column in zip(batch.schema.names, batch.columns, strict=True)} for k in range(batch.num_rows)):
                 if r["shard"] != now:
                     close()
                     now, roll = r["shard"], 0
@@ -161,12 +166,13 @@ def write_warc(pages: DataFrame, root: str, ws: Workspace, *, id_col: str = "pag
                     if r["id"] != verdict[2] or verdict[3]:
                         kind, refers = "revisit", verdict[2]
                     verdict[3] = True
+                copy, last = copy + 1 if last == (r["id"], r["key"], kind) else 0, (r["id"], r["key"], kind)
                 if out is None:
                     tmp, size, count, digest = temporary(root, ".warc.gz"), 0, 0, hashlib.sha256()
                     fs, path = open_fs(tmp)
                     fs.create_dir(path.rpartition("/")[0], recursive=True)
                     out = fs.open_output_stream(path, compression=None)
-                member = record(kind, r["id"], r["url"], r["data"], refers)
+                member = record(kind, r["id"], r["url"], r["data"], refers, copy)
                 out.write(member)
                 digest.update(member)
                 size, count = size + len(member), count + 1

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import random
 
 from marlstone.llm import warc
 from marlstone.llm.workspace import Workspace, hadoop_path
@@ -59,5 +60,40 @@ def test_files_are_deterministic_and_rolled(spark):
     assert order(tuple(r)[:5] for r in warc.read_warc(spark, root).collect()) == order(expected(ROWS))
 
 
+def headers(spark, root):
+    """Of the records of each committed file, in order."""
+    out = {}
+    for f in sorted(r.name for r in spark.read.json(f"{root}/MANIFEST.jsonl").collect()):
+        with open(f"{root}/{f}".removeprefix("file:"), "rb") as source:
+            out[f] = [head for head, _ in warc.read_records(source)]
+    return out
+
+
+def test_record_ids(spark):
+    rows = [*ROWS, ROWS[0], (5, "http://other/", "same", None)]
+    heads = [h for x in headers(spark, write(spark, rows)).values() for h in x]
+    ids = [h["WARC-Record-ID"] for h in heads]
+    assert len(set(ids)) == len(ids) == len(rows)
+    at = {h["WARC-Record-ID"]: h for h in heads}
+    for h in heads:
+        if h["WARC-Type"] == "revisit":
+            first = at[h["WARC-Refers-To"]]
+            assert first["WARC-Type"] == "response" and first["WARC-Payload-Digest"] == h["WARC-Payload-Digest"] and first.get("X-Page-ID") == h.get("X-Refers-To-Page-ID")
+
+
+def test_files_close_by_compressed_bytes(spark):
+    """At the defaults: pages that don't compress, so that one shard is more than one file."""
+    rng = random.Random(3)
+    rows = [(i, f"http://x/{i}", base64.b85encode(rng.randbytes(400_000)).decode(), None) for i in range(100)]
+    root = write(spark, rows)
+    files = sorted((r.name, r.n_bytes) for r in spark.read.json(f"{root}/MANIFEST.jsonl").collect())
+    assert [name for name, _ in files] == ["pages-000000-0000.warc.gz", "pages-000000-0001.warc.gz"] and warc.ROLL <= files[0][1] < warc.ROLL + 500_000
+    assert order(tuple(r)[:5] for r in warc.read_warc(spark, root).collect()) == order(expected(rows))
+
+
+def test_empty_pages_count_in_shards(spark):
+    assert len(headers(spark, write(spark, [(i, None, None, None) for i in range(100)], shard_bytes=10 * warc.HEADERS))) == 10
+
+
 def test_empty(spark):
     assert warc.read_warc(spark, write(spark, [])).count() == 0
