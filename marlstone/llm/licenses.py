@@ -5,50 +5,52 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Mapping
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 
 from .arrow_map import add_columns
 from .decontaminate import words_of
 
-#: Notices by name (fixed values: standard license statements).
-NOTICES: Mapping[str, str] = {
+#: Short notices by name (fixed values: standard license statements).
+SHORT: Mapping[str, str] = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
-    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work under CC0 1.0 Universal.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0",
     "MIT": "Released under the MIT License.",
-    "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
 }
-
 _GNU = "This work is licensed under the GNU {}General Public License, version {}."
-_GNU_HEADER = NOTICES["GPL-3.0-header"]
-_CC = {"BY": "BY", "BY-SA": "BY-SA", "BY-ND": "BY-ND", "BY-NC": "BY-NC", "BY-NC-SA": "BY-NC-SA", "BY-NC-ND": "BY-NC-ND"}
+_GNU_HEADER = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+_GNU_NAMES = {"GPL-2.0": ("", "2"), "GPL-3.0": ("", "3"), "LGPL-2.1": ("Lesser ", "2.1"), "LGPL-3.0": ("Lesser ", "3"), "AGPL-3.0": ("Affero ", "3")}
+_NO_ENDORSEMENT = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+#: What tells licenses apart that are worded alike: a notice that has such a word is found only where the word is.
+DECIDING = frozenset("affero apache by cc cc0 eclipse general lesser mit mozilla mpl nc nd sa 0 1 2 3 4 5".split())
+
+
+def _full_texts() -> dict[str, str]:
+    """The full texts beside this module, by name; two are made from others."""
+    texts = {f.stem: f.read_text("utf-8") for f in sorted(Path(__file__).with_name("license_texts").glob("*.txt"))}
+    head, _, tail = texts["BSD-2-Clause"].partition("THIS SOFTWARE IS PROVIDED")
+    texts["BSD-3-Clause"] = f"{head}3. {_NO_ENDORSEMENT}\n\nTHIS SOFTWARE IS PROVIDED{tail}"
+    texts["AGPL-3.0"] = texts["GPL-3.0"].replace("GNU GENERAL", "GNU AFFERO GENERAL").replace("GNU General", "GNU Affero General")
+    return {f"{name}-text": text for name, text in texts.items()}
+
+
 #: Notices that differ from each other in a word or two, by family: of those whose windows overlap the one that fits best stands.
 FAMILIES: Mapping[str, Mapping[str, str]] = {
-    "cc": {f"CC-{k}-{v}": f"Licensed under CC {x} {v}." for k, x in _CC.items() for v in ("2.0", "2.5", "3.0", "4.0")},
-    "gnu": {f"{k}GPL-{v}": _GNU.format(x, v.removesuffix(".0")) for k, x, v in (("", "", "2.0"), ("", "", "3.0"), ("L", "Lesser ", "2.1"), ("L", "Lesser ", "3.0"), ("A", "Affero ", "3.0"))},
-    "gnu-header": {
-        f"{k}GPL-{v}-header": _GNU_HEADER.replace("GNU General", f"GNU {x}General").replace("version 3", f"version {v.removesuffix('.0')}")
-        for k, x, v in (("", "", "2.0"), ("", "", "3.0"), ("L", "Lesser ", "2.1"), ("L", "Lesser ", "3.0"), ("A", "Affero ", "3.0"))
-    },
-    "bsd": {
-        "BSD-2-Clause": NOTICES["BSD-2-Clause"],
-        "BSD-3-Clause": NOTICES["BSD-2-Clause"] + " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
-    },
+    "cc": {f"CC-{x}-{v}": f"Licensed under CC {x} {v}." for x in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND") for v in ("2.0", "2.5", "3.0", "4.0")},
+    "gnu": {name: _GNU.format(*x) for name, x in _GNU_NAMES.items()},
+    "gnu-header": {f"{name}-header": _GNU_HEADER.format(*x) for name, x in _GNU_NAMES.items()},
+    "gnu-text": {name: text for name, text in _full_texts().items() if "GPL" in name},
+    "bsd": {name: text for name, text in _full_texts().items() if "BSD" in name},
 }
 _FAMILY = {name: family for family, members in FAMILIES.items() for name in members}
-NOTICES = {
-    **NOTICES,
-    **{name: text for members in FAMILIES.values() for name, text in members.items()},
-    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work under CC0 1.0 Universal.",
-    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
-}
+NOTICES: Mapping[str, str] = {**SHORT, **_full_texts(), **{name: text for members in FAMILIES.values() for name, text in members.items()}}
+#: Notices of at most so many words must have their deciding words; longer ones are told apart by the rest of their text.
+DECIDED = 80
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -107,12 +109,13 @@ def align(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
 
 
 class Scanner:
-    """Finds the notices in a text that a window of it covers to ``coverage`` or more."""
+    """Finds the notices in a text that a window of it covers to ``coverage`` or more, deciding words included."""
 
     def __init__(self, notices: Mapping[str, str] = NOTICES, coverage: float = 0.8, stretch: float = 1.5):
         self.coverage, self.stretch = coverage, stretch
         self.notices = {name: words_of(text) for name, text in sorted(notices.items()) if words_of(text)}
         self._bags = {name: Counter(words) for name, words in self.notices.items()}
+        self._deciding = {name: frozenset(w for w in words if w.decode() in DECIDING) if len(words) <= DECIDED else frozenset() for name, words in self.notices.items()}
         self._all = frozenset(w for words in self.notices.values() for w in words)
 
     def find(self, words: list[bytes]) -> list[tuple[str, float, int, int]]:
@@ -127,7 +130,8 @@ class Scanner:
         places = [k for k, w in enumerate(words) if w in known]
         for name, notice in self.notices.items():
             bag, need = self._bags[name], self.coverage * len(notice)
-            if sum(n for w, n in bag.items() if w in known) < need:
+            deciding = self._deciding[name]
+            if not deciding <= known or sum(n for w, n in bag.items() if w in known) < need:
                 continue
             best = None
             span = int(len(notice) * self.stretch)
@@ -145,12 +149,12 @@ class Scanner:
                     low += 1
                 if total >= need:
                     here = (own[low], k + 1)
-                    if ready and here[0] < ready[1] and here[1] - ready[0] <= 2 * span:
-                        ready = (ready[0], here[1])
+                    if ready and len(notice) > DECIDED and here[0] < ready[1] and here[1] - ready[0] <= 2 * span:
+                        ready = (ready[0], here[1])  # long notices are aligned once for windows that overlap
                     else:
-                        best = self._better(best, words, notice, ready)
+                        best = self._better(best, words, notice, deciding, ready)
                         ready = here
-            best = self._better(best, words, notice, ready)
+            best = self._better(best, words, notice, deciding, ready)
             if best and best[0] >= self.coverage:
                 out.append((name, *best))
         return out
@@ -167,10 +171,12 @@ class Scanner:
         return fit(y) > fit(x)
 
     @staticmethod
-    def _better(best, words: list[bytes], notice: list[bytes], window: tuple[int, int] | None):
+    def _better(best, words: list[bytes], notice: list[bytes], deciding: frozenset[bytes], window: tuple[int, int] | None):
         if window is None:
             return best
         matched = align(words[window[0] : window[1]], notice)
+        if not deciding <= {notice[j] for _, j in matched}:
+            return best
         found = (len(matched) / len(notice), window[0] + matched[0][0], window[0] + matched[-1][0] + 1) if matched else None
         return found if found and (best is None or found[0] > best[0]) else best
 
