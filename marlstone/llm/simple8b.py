@@ -17,8 +17,13 @@ _MAX = int(COUNTS.max())
 _MASKS = np.array([(1 << int(w)) - 1 if w < 64 else 0 for w in WIDTHS], dtype=np.uint64)
 
 
+_SMALL = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
+
+
 def _bits(ids: np.ndarray) -> np.ndarray:
-    """Bits of each id: the exponent of a float, whose 53 bits hold either half of an id exactly."""
+    """Bits of each id: small ones by table, others by the exponent of a float, whose 53 bits hold either half of an id exactly."""
+    if ids.size and int(ids.max()) < len(_SMALL):
+        return _SMALL[ids]
     out = np.frexp((ids & np.uint64(0xFFFFFFFF)).astype(np.float64))[1].astype(np.uint8)
     high = ids >> np.uint64(32)
     if high.any():

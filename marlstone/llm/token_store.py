@@ -25,7 +25,7 @@ from .workspace import partitions
 MAGIC = b"S8BTOK01"
 _TAIL = struct.Struct("<5Q8s")
 #: Blocks coded at once; ids, and documents, from which a file is closed after a document.
-CHUNK, ROLL, ROLL_DOCS = 128, 1 << 26, 1 << 22
+CHUNK, ROLL, ROLL_DOCS = 256, 1 << 26, 1 << 22
 _FILES = "pid int, roll int, tmp string, n_docs long, n_tokens long, n_words long"
 _MANIFEST = "name string, start long, n_docs long, n_tokens long, n_words long"
 

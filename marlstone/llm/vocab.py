@@ -10,7 +10,9 @@ from __future__ import annotations
 import base64
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
+from operator import attrgetter
 
 import numpy as np
 
@@ -19,7 +21,7 @@ _CUT = re.compile(r" (?=[!-~¡-ᙿ])")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+| ?[0-9²³¹¼-¾]+| ?[^\sA-Za-zªµºÀ-ÖØ-öø-ɏ0-9²³¹¼-¾]+|\s+(?!\S)|\s+")
 _LATIN = re.compile(r"[\t\n\r -~¡-ɏ]*\Z")
 #: Bounds of the caches: entries of the newer half (the older half has as many), and characters of what is kept.
-PIECES, WORDS, LENGTH = 20_000, 180_000, 48
+PIECES, WORDS, LENGTH = 20_000, 250_000, 48
 
 
 class _Cache(dict):
@@ -42,7 +44,7 @@ class _Cache(dict):
 
 
 class PieceEncoder:
-    """``encode`` gives the ids of a text as uint32. word: the library's ids of one word; text: of any string; whole: strings that make the library treat a whole text otherwise."""
+    """``encode`` gives the ids of a text as uint32. word: the library's ids of one word, in order; text: of any string; whole: strings that make the library treat a whole text otherwise."""
 
     def __init__(self, word, text, whole: tuple[str, ...] = ()):
         self._text, self._whole = text, whole
@@ -76,12 +78,14 @@ def hf_encoder(path: str) -> PieceEncoder:
 
     t = Tokenizer.from_file(path)
     added = tuple(x.content for x in t.get_added_tokens_decoder().values())
-    merge, letters = t.model.tokenize, _byte_letters()
-
-    def word(x: str) -> list[int]:
-        body = x[1:]
-        written = f"Ġ{body}" if x[0] == " " and body.isalpha() and body.isascii() else "".join(map(letters.__getitem__, x.encode()))
-        return [y.id for y in merge(written)]
+    merge, letters, number = t.model.tokenize, dict(enumerate(_byte_letters())), attrgetter("id")
+
+    def word(x: str) -> Iterator[int]:
+        if x.isascii() and x.isprintable():  # all but the space are written as they are
+            written = x.replace(" ", "Ġ")
+        else:
+            written = x.encode().decode("latin-1").translate(letters)
+        return map(number, merge(written))
 
     return PieceEncoder(word, lambda x: t.encode(x, add_special_tokens=False).ids, added)
 
