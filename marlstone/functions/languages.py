@@ -193,26 +193,24 @@ def language_class(audio: Column, subtitles: Column) -> Column:
     return F.struct(es.alias("spanish"), en.alias("english"), other.alias("other"), (~es & ~en & ~other).alias("unknown"))
 
 
-#: Release groups and the languages that they usually have (a parameter of the parser; names of public groups).
-_EN, _DUAL, _MULTI = (("japanese",), ("english",)), (("japanese", "english"), ("english",)), (("japanese",), ("english", "spanish", "latino"))
-GROUPS: Mapping[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
-    "subsplease": _EN,
-    "erai-raws": _MULTI,
-    "horriblesubs": _EN,
-    "judas": _DUAL,
-    "ember": _DUAL,
-    "asw": _EN,
-    "anime time": _DUAL,
-    "anime pahe": _EN,
-    "commie": _EN,
-    "coalgirls": _EN,
-    "doki": _EN,
-    "gjm": _EN,
-    "underwater": _EN,
-    "puyasubs": (("japanese",), ("spanish",)),
-    "yameii": _DUAL,
-    "cleo": _EN,
-}
+#: Known release groups by the languages that they usually have: audio, subtitles, names (fixed values; a parameter of the parser).
+GROUP_PROFILES: Sequence[tuple[tuple[str, ...], tuple[str, ...], Sequence[str]]] = (
+    (("japanese",), ("english",), [
+        "subsplease", "horriblesubs", "asw", "anime pahe", "animepahe", "dkb", "cleo", "cerberus", "reaktor", "kaizoku", "animekaizoku", "nc-raws", "lilith-raws", "coalgirls", "commie", "underwater", "fff",
+        "damedesuyo", "doki", "chihiro", "gjm", "kaleido", "sallysubs", "mtbb", "sweetsub", "uccuss", "pog42", "neodesu", "nyanpasu", "hakata ramen", "edge", "yuri", "hi10", "thora", "ctr", "sxales", "baaro",
+        "mysteria", "nep_blanc", "shimatta", "setsugen", "pantsu", "crow", "animeout", "anime4life", "anime-chap", "sam", "ani", "hianime", "hidive", "crunchyroll", "cr", "gst", "smol", "zza", "shirσ", "ssa",
+        "nan0", "aergia", "okay-subs", "newbsubs", "bakedfish", "deanzel",
+    ]),
+    (("japanese", "english"), ("english",), ["judas", "ember", "ember encodes", "anime time", "animetime", "kametsu", "yameii", "golumpa", "animerg", "lostyears", "cbm", "toonshub", "trix", "arid", "exiled-destiny", "anime land", "anidl", "varyg"]),
+    (("japanese",), ("english", "spanish", "latino"), ["erai-raws"]),
+    (("japanese",), (), ["moozzi2", "beatrice-raws", "vcb-studio", "tsundere-raws", "ohys-raws", "leopard-raws", "anime-raws", "deadmau-raws", "seed-raws", "philosophy-raws", "kawaiika-raws", "raws-maji"]),
+    (("japanese",), ("spanish",), [
+        "puyasubs", "puya", "animeflv", "anime-underground", "au", "animeid", "nihonjin", "tanoshii", "hunter subs", "backbeard", "shinsen", "inari", "friki no fansub", "rakuen", "tenshi", "kuroneko", "anime yabai",
+        "anime-yabai", "mct", "rakuen no fansub", "ñyuum", "eldoradosubs", "ataraxia", "sakura fansub", "fenixfansub", "akiba-kei", "nanikano", "nanikano fansub", "shin-sekai",
+    ]),
+    (("japanese",), ("latino",), ["animelatino", "jkanime", "latinoanime", "monoschinos", "animefenix", "animeyt", "animejl"]),
+)
+GROUPS: Mapping[str, tuple[tuple[str, ...], tuple[str, ...]]] = {name: (audio, subtitles) for audio, subtitles, names in GROUP_PROFILES for name in names}
 
 
 def group_profile(name: str | None, groups: Mapping = GROUPS) -> tuple[str, tuple, tuple] | None:

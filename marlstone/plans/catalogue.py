@@ -156,13 +156,13 @@ def search_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BIGRAMS = "list_transform(range(1, length({0})), lambda i: substr({0}, i, 2))"
 _DICE = f"""CASE WHEN a = b THEN 1.0 ELSE 2.0 * list_sum(list_transform(list_distinct({_BIGRAMS.format('a')}), lambda g: least(len(list_filter({_BIGRAMS.format('a')}, lambda x: x = g)), len(list_filter({_BIGRAMS.format('b')}, lambda x: x = g))))) / (length(a) + length(b) - 2) END"""
 _JACCARD = "len(list_intersect(string_split(a, ' '), string_split(b, ' '))) * 1.0 / len(list_distinct(list_concat(string_split(a, ' '), string_split(b, ' '))))"
-_PAIRS = "WITH n AS (SELECT DISTINCT p_brand, p_name FROM part), p AS (SELECT x.p_brand, x.p_name AS a, y.p_name AS b FROM n x JOIN n y ON x.p_brand = y.p_brand AND x.p_name < y.p_name)"
+_PAIRS = "WITH n AS (SELECT DISTINCT p_brand, p_name AS b FROM part), p AS (SELECT p_brand, a, b FROM (SELECT p_brand, min(b) AS a FROM n GROUP BY p_brand) JOIN n USING (p_brand) WHERE a <> b)"
 
 
 def _name_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of different part names inside a brand; brands block the comparison."""
-    n = _t(spark, sf_dir, "part").select("p_brand", "p_name").distinct()
-    return n.select("p_brand", F.col("p_name").alias("a")).join(n.select("p_brand", F.col("p_name").alias("b")), "p_brand").where("a < b")
+    """Each part name beside the first of its brand: as many pairs as names."""
+    n = _t(spark, sf_dir, "part").select("p_brand", F.col("p_name").alias("b")).distinct()
+    return n.groupBy("p_brand").agg(F.min("b").alias("a")).join(n, "p_brand").where("a <> b")
 
 
 @_query(f"{_PAIRS} SELECT p_brand, a, b, round({_DICE}, 6) AS score FROM p")
@@ -265,10 +265,68 @@ def title_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- titles --------------------------------------------------------------------------------------------------------------------
 
 
+def _read(spark: SparkSession, sf_dir: str, title: str, *fields: str) -> DataFrame:
+    """Parts, and attributes of a title made of their columns, by the parser that users call."""
+    p = release.parsed(F.expr(title))
+    return _t(spark, sf_dir, "part").select("p_partkey", p.alias("p")).select("p_partkey", *[F.col(f"p.{f}") for f in fields])
+
+
 @_query(f"SELECT p_partkey, {SEASON} AS season, {EPISODE} AS episode FROM part")
 def parse_season_episode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By native columns: the code of one notation needs no parser."""
-    return _parts(spark, sf_dir, f"{EPISODE_TITLE} AS title").select("p_partkey", release.episode_codes(F.col("title")).alias("e")).select("p_partkey", "e.season", "e.episode")
+    return _read(spark, sf_dir, EPISODE_TITLE, "season", "episode")
+
+
+_S, _E = f"CAST({SEASON} AS STRING)", f"lpad(CAST({EPISODE} AS STRING), 2, '0')"
+_NOTATIONS = (f"concat('S0', {_S}, 'E', {_E}, '-E', CAST({EPISODE} + 30 AS STRING))", f"concat('T', {_S}, ' EP', {_E})", f"concat('Season ', {_S}, ' Episode ', {_E})", f"concat({_S}, 'x', {_E}, ' al ', {_S}, 'x', CAST({EPISODE} + 30 AS STRING))", f"concat('Cap.', {_S}, {_E})", f"concat({_S}, ' - ', {_E})")
+
+
+@_query(f"SELECT p_partkey, p_name AS clean_title, {SEASON} AS season, {EPISODE} AS episode, CASE WHEN p_partkey % 6 IN (0, 3) THEN {EPISODE} + 30 END AS episode_end FROM part")
+def parse_episode_notations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six notations of season and episode, two of them with a range."""
+    forms = " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(_NOTATIONS))
+    return _read(spark, sf_dir, f"concat(p_name, ' ', CASE p_partkey % 6 {forms} END, ' 720p')", "clean_title", "season", "episode", "episode_end")
+
+
+@_query(f"SELECT p_partkey, p_name AS clean_title, {SEASON} AS season, CASE WHEN p_partkey % 4 = 3 THEN {SEASON} + 2 END AS season_end, true AS is_season_pack FROM part")
+def parse_season_notations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three notations of a season alone, and a range of seasons."""
+    forms = f"WHEN 0 THEN concat('S0', {_S}) WHEN 1 THEN concat('Temporada ', {_S}) WHEN 2 THEN concat({_S}, CASE {SEASON} WHEN 1 THEN 'st' WHEN 2 THEN 'nd' WHEN 3 THEN 'rd' ELSE 'th' END, ' Season') ELSE concat('S0', {_S}, '-S', lpad(CAST({SEASON} + 2 AS STRING), 2, '0'))"
+    return _read(spark, sf_dir, f"concat(p_name, ' ', CASE p_partkey % 4 {forms} END, ' 1080p')", "clean_title", "season", "season_end", "is_season_pack")
+
+
+@_query(f"SELECT p_partkey, p_name AS clean_title, NULL::INT AS season, {EPISODE} AS episode, {EPISODE} AS absolute_episode FROM part")
+def parse_absolute_notations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five notations of an episode without a season."""
+    forms = f"WHEN 0 THEN concat(' - ', {_E}) WHEN 1 THEN concat(' Ep. ', {_E}) WHEN 2 THEN concat(' 第', {_E}, '話') WHEN 3 THEN concat(' #', {_E}) ELSE concat(' [', {_E}, ']')"
+    return _read(spark, sf_dir, f"concat(p_name, CASE p_partkey % 5 {forms} END, ' [720p]')", "clean_title", "season", "episode", "absolute_episode")
+
+
+@_query("SELECT p_partkey, p_name AS clean_title, CASE WHEN p_partkey % 2 = 0 THEN 100 + p_partkey % 700 ELSE 1000 + p_partkey % 900 END::INT AS episode, 'trailing-number-episode' AS flags FROM part")
+def parse_trailing_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A number at the end of a name is an episode."""
+    number = "CAST(CASE WHEN p_partkey % 2 = 0 THEN 100 + p_partkey % 700 ELSE 1000 + p_partkey % 900 END AS STRING)"
+    return _read(spark, sf_dir, f"concat(p_name, ' ', {number}, ' [Latino]')", "clean_title", "episode", "flags").withColumn("flags", F.array_join("flags", ","))
+
+
+@_query(f"SELECT p_partkey, CASE WHEN p_partkey % 3 = 2 THEN '1984 ' ELSE '' END || p_name AS clean_title, {YEAR} AS year FROM part")
+def parse_year_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year in brackets, behind the name, and the last of two."""
+    y = f"CAST({YEAR} AS STRING)"
+    return _read(spark, sf_dir, f"CASE p_partkey % 3 WHEN 0 THEN concat(p_name, ' [', {y}, '] 1080p') WHEN 1 THEN concat(replace(p_name, ' ', '.'), '.', {y}, '.1080p.WEB') ELSE concat('1984 ', p_name, ' ', {y}, ' 720p') END", "clean_title", "year")
+
+
+@_query("SELECT p_partkey, p_name AS clean_title, p_name AS search_key FROM part")
+def parse_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What sites write around a name, languages and editions behind it, and names only found without tokens."""
+    forms = ("concat('Descargar Pelicula ', p_name, ' 2011 1080p')", "concat(p_name, ' Torrent 2011 1080p')", "concat('www.some-site.com - ', p_name, ' (2011)')", "concat('ver.pelicula.online.', replace(p_name, ' ', '.'), '.2011.720p')", "concat(p_name, ' Spanish Dubbed 2011 HDTV')", "concat(p_name, ' Extended Cut 2011 720p')", "concat('1920x1080 ', p_name)", "concat('[1080p] (2011) ', p_name, ' AKA other name')")
+    return _read(spark, sf_dir, f"CASE p_partkey % {len(forms)} {' '.join(f'WHEN {i} THEN {x}' for i, x in enumerate(forms))} END", "clean_title", "search_key")
+
+
+@_query("SELECT p_partkey, p_name AS clean_title, CASE p_partkey % 3 WHEN 0 THEN 'Anime Time' WHEN 1 THEN 'Erai-raws' ELSE 'Judas' END AS release_group, CASE WHEN p_partkey % 3 = 1 THEN 'japanese' ELSE 'english,japanese' END AS audio FROM part")
+def parse_bare_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A known group without brackets before the name, or in brackets behind it."""
+    title = "CASE p_partkey % 3 WHEN 0 THEN concat('Anime Time ', p_name, ' 1080p') WHEN 1 THEN concat('Erai-raws - ', p_name, ' 1080p') ELSE concat(p_name, ' 1080p [Judas]') END"
+    return _read(spark, sf_dir, title, "clean_title", "release_group", "audio").withColumn("audio", F.array_join("audio", ","))
 
 
 @_query(f"SELECT p_partkey, {YEAR} AS year FROM part")
@@ -278,8 +336,7 @@ def parse_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"SELECT p_partkey, {QUALITY} AS quality, lower({SOURCE}) AS source, {CODEC_LABEL} AS codec, 'mkv' AS container FROM part")
 def parse_quality_source_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.col("title")
-    return _parts(spark, sf_dir, f"{FILM_TITLE} AS title").select("p_partkey", release.quality_token(t).alias("quality"), release.source_token(t).alias("source"), release.codec_token(t).alias("codec"), release.container_token(t).alias("container"))
+    return _read(spark, sf_dir, FILM_TITLE, "quality", "source", "codec", "container")
 
 
 @_query(
@@ -288,9 +345,7 @@ def parse_quality_source_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def parse_audio_hdr_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = "CASE p_partkey % 4 WHEN 0 THEN 'DDP5.1 HDR10 DV' WHEN 1 THEN 'TrueHD 7.1 HDR10+' WHEN 2 THEN 'AAC2.0 10bit' ELSE 'HLG 8-bit' END"
-    t = F.col("title")
-    rows = _parts(spark, sf_dir, f"concat(p_name, ' 2160p ', {tokens}, ' x265') AS title")
-    return rows.select("p_partkey", release.audio_codec_token(t).alias("audio_codec"), release.channels_token(t).alias("channels"), release.hdr_token(t).alias("hdr"), release.bit_depth_token(t).alias("bit_depth"))
+    return _read(spark, sf_dir, f"concat(p_name, ' 2160p ', {tokens}, ' x265')", "audio_codec", "channels", "hdr", "bit_depth")
 
 
 @_query(f"SELECT p_partkey, {KEY} AS clean_title, {KEY} AS search_key FROM part")
@@ -424,26 +479,13 @@ def work_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.work_groups(_orphans(spark, sf_dir)).select("work", "n_rows", "tmdb_id", "ambiguous_year")
 
 
-@_query(
-    """WITH o AS (SELECT o_custkey % 50 AS k, CASE WHEN o_orderkey % 3 > 0 THEN CAST(year(o_orderdate) AS INT) END AS y FROM orders WHERE o_custkey % 50 < 10 OR o_orderkey % 3 = 0 OR year(o_orderdate) = 1998),
-    b AS (SELECT k, count(DISTINCT y) AS n, max(y) AS top FROM o GROUP BY k)
-    SELECT concat_ws('|', 'movie', 'k' || o.k, coalesce((CASE WHEN n <= 1 THEN top ELSE y END)::VARCHAR, ''), '') AS work, count(*)::BIGINT AS n_rows, bool_or(y IS NULL AND n > 1) AS ambiguous_year FROM o JOIN b USING (k) GROUP BY 1"""
-)
-def year_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Works of several years: those without one stay apart and are marked."""
-    none = F.lit(None).cast("long")
-    o = _t(spark, sf_dir, "orders").where("o_custkey % 50 < 10 OR o_orderkey % 3 = 0 OR year(o_orderdate) = 1998")
-    rows = o.select(F.col("o_orderkey").alias("id"), F.lit("movie").alias("kind"), F.concat(F.lit("k"), (F.col("o_custkey") % 50).cast("string")).alias("search_key"), F.when(F.col("o_orderkey") % 3 > 0, F.year("o_orderdate")).alias("year"), F.lit(1).alias("season"), F.array(F.lit("tmdb_id")).alias("needed"), F.lit(None).cast("string").alias("imdb_id"), *[none.alias(c) for c in enrich.ID_COLUMNS[1:]])
-    return enrich.work_groups(rows).select("work", "n_rows", "ambiguous_year")
-
-
 @_query(
     """WITH o AS (SELECT o_custkey % 50 AS k, CASE WHEN o_custkey % 50 < 10 THEN CASE WHEN o_orderkey % 3 > 0 THEN CAST(year(o_orderdate) AS INT) END WHEN o_orderkey % 3 > 0 AND year(o_orderdate) = 1998 THEN 1998 END AS y FROM orders),
     b AS (SELECT k, count(DISTINCT y) AS n, max(y) AS top FROM o GROUP BY k)
     SELECT concat_ws('|', 'movie', 'k' || o.k, coalesce((CASE WHEN n <= 1 THEN top ELSE y END)::VARCHAR, ''), '') AS work, count(*)::BIGINT AS n_rows, bool_or(y IS NULL AND n > 1) AS ambiguous_year FROM o JOIN b USING (k) GROUP BY 1"""
 )
-def year_merge_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As year_merge, over every order: a fifth of the titles has several years, the others one."""
+def year_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order: a fifth of the titles has several years, so those without one stay apart and are marked; the others have one."""
     none, known = F.lit(None).cast("long"), F.col("o_orderkey") % 3 > 0
     year = F.when(F.col("o_custkey") % 50 < 10, F.when(known, F.year("o_orderdate"))).when(known & (F.year("o_orderdate") == 1998), F.lit(1998))
     rows = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.lit("movie").alias("kind"), F.concat(F.lit("k"), (F.col("o_custkey") % 50).cast("string")).alias("search_key"), year.alias("year"), F.lit(1).alias("season"), F.array(F.lit("tmdb_id")).alias("needed"), F.lit(None).cast("string").alias("imdb_id"), *[none.alias(c) for c in enrich.ID_COLUMNS[1:]])
@@ -529,21 +571,11 @@ def telemetry_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- identity and survivors ----------------------------------------------------------------------------------------------------
 
 
-@_query(
-    """WITH RECURSIVE e AS (SELECT 'o' || l_orderkey AS a, 'p' || l_partkey AS b FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.1), both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-    reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, x.b FROM reach r JOIN both_ways x ON r.b = x.a) SELECT a AS node, least(a, min(b)) AS component FROM reach GROUP BY a"""
-)
-def connected_components_of_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders and parts that line items join."""
-    e = _t(spark, sf_dir, "lineitem").where("l_quantity = 50 AND l_discount = 0.1").select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("a"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("b"))
-    return connected_components(e, "a", "b", Workspace(spark, "cc"))
-
-
 @_query("")  # a recursive reach is too slow on the whole graph; the tests hold it against a union-find
-def connected_components_of_all_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+def connected_components_of_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders and parts that line items join: every line item."""
     e = _t(spark, sf_dir, "lineitem").select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("a"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("b"))
-    return connected_components(e, "a", "b", Workspace(spark, "cc-all"))
+    return connected_components(e, "a", "b", Workspace(spark, "cc"))
 
 
 def _identified(spark: SparkSession, sf_dir: str) -> DataFrame:

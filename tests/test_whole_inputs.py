@@ -25,11 +25,11 @@ def test_components_of_every_line_item(spark):
     for o, p in zip(t["l_orderkey"], t["l_partkey"], strict=True):
         a, b = sorted((find(f"o{o}"), find(f"p{p}")))
         root[b] = a
-    got = QUERIES["connected_components_of_all_ids"](spark, SF).collect()
+    got = QUERIES["connected_components_of_ids"](spark, SF).collect()
     assert len(got) == len(root) and {r.node: r.component for r in got} == {x: find(x) for x in list(root)}
 
 
 def test_year_merge_reads_every_order(spark):
-    got = QUERIES["year_merge_all"](spark, SF).collect()
+    got = QUERIES["year_merge"](spark, SF).collect()
     assert sum(r.n_rows for r in got) == pq.read_metadata(f"{SF}/orders.parquet").num_rows
     assert any(r.ambiguous_year for r in got) and not all(r.ambiguous_year for r in got)
