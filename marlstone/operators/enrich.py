@@ -28,8 +28,8 @@ def work_key(kind: Column, key: Column, year: Column, season: Column) -> Column:
     return F.concat_ws("|", kind, key, F.coalesce(year.cast("string"), F.lit("")), late)
 
 
-def work_groups(rows: DataFrame, *, key: str = "id", kind: str = "kind", title_key: str = "search_key", year: str = "year", season: str = "season", needed: str = "needed", ids: Sequence[str] = ID_COLUMNS, attempts: str | None = None) -> DataFrame:
-    """One row for each work: its rows' number, the first id known of each sort (by the smallest key), the ids needed, the most attempts.
+def work_groups(rows: DataFrame, *, key: str = "id", kind: str = "kind", title_key: str = "search_key", year: str = "year", season: str = "season", needed: str = "needed", ids: Sequence[str] = ID_COLUMNS, attempts: str | None = None, flags: Sequence[str] = ()) -> DataFrame:
+    """One row for each work: its rows' number, the first id known of each sort (by the smallest key), the ids needed, the most attempts, and for each of ``flags`` whether any row has it.
 
     A work without a year joins the one work of the same kind, title and season that has one; if several do its year is ambiguous.
     """
@@ -44,7 +44,7 @@ def work_groups(rows: DataFrame, *, key: str = "id", kind: str = "kind", title_k
     known = [F.min_by(F.when(F.col(c).isNotNull() & (F.col(c).cast("string") != "0") & (F.col(c).cast("string") != ""), F.col(c)), F.when(F.col(c).isNotNull() & (F.col(c).cast("string") != "0") & (F.col(c).cast("string") != ""), F.col(key))).alias(c) for c in ids]
     needs = F.array_sort(F.array_distinct(F.flatten(F.collect_set(needed)))).alias("needed")
     tries = F.max(F.coalesce(F.col(attempts), F.lit(0))).alias("attempts") if attempts else F.lit(0).alias("attempts")
-    return placed.groupBy("work", F.col("_bk").alias("kind"), F.col("_bt").alias("search_key"), F.col("_year").alias("year"), F.col("_season").alias("season")).agg(F.count("*").alias("n_rows"), F.max("_unsure").alias("ambiguous_year"), *known, needs, tries)
+    return placed.groupBy("work", F.col("_bk").alias("kind"), F.col("_bt").alias("search_key"), F.col("_year").alias("year"), F.col("_season").alias("season")).agg(F.count("*").alias("n_rows"), F.max("_unsure").alias("ambiguous_year"), *known, needs, tries, *[F.max(F.coalesce(F.col(f), F.lit(False))).alias(f) for f in flags])
 
 
 def still_needed(groups: DataFrame, ids: Sequence[str] = ID_COLUMNS) -> DataFrame:
@@ -88,6 +88,7 @@ def find_by_imdb(works: DataFrame, find: DataFrame, *, imdb: str = "imdb_id", ki
 
 
 def external_ids(works: DataFrame, external: DataFrame, *, tmdb: str = "tmdb_id", kind: str = "kind") -> DataFrame:
+    """``works`` with the imdb id behind their tmdb id, which counts by kind: movie, or tv for all others."""
     own = F.when(F.col(kind) == "movie", "movie").otherwise("tv")
     table = external.select(F.col("kind").alias("_kind"), F.col("tmdb_id").alias("_tmdb"), F.col("imdb_id").alias("found_imdb_id")).dropDuplicates(["_kind", "_tmdb"])
     return works.join(table, (own == F.col("_kind")) & (F.col(tmdb) == F.col("_tmdb")), "left").drop("_kind", "_tmdb")
@@ -134,6 +135,8 @@ def attempts_of(works: DataFrame, *, only_season: bool = False, with_year_first:
     return each
 
 
+#: What is added to the attempts among the other kind, which come after all of the own.
+_OTHER_KIND = 1000
 #: Catalogues searched by title: the id they give, the kinds they have, and how years count there.
 SEARCHES = (
     ("tmdb", "tmdb_id", ("movie", "series", "anime"), {"window": 2, "penalty": 0.2, "popularity_bonus": True}),
@@ -147,8 +150,11 @@ def resolve(works: DataFrame, search: DataFrame, bridge: DataFrame, find: DataFr
 
     Exact ways first: the tmdb id behind the imdb id, and the bridge for anime with an id. What is left is searched by title, each catalogue for the works that still lack its
     id: TMDB with the year and then without, AniList and Kitsu (one entry a season) by season variants. An AniList hit leads over the bridge to the other anime ids, and the tmdb id to
-    the imdb id. works: work, kind, title, year, the id columns, and season if there.
+    the imdb id. works: work, kind, title, year, the id columns, and if there season, ``has_episode`` and ``type_guessed``: anime without episodes, and works without episodes whose kind
+    only the parser gave, are looked for among the other kind of TMDB's entries too, if their own has none.
     """
+    flag = lambda name: F.coalesce(F.col(name), F.lit(False)) if name in works.columns else F.lit(False)
+    either = ~(flag("has_episode") if "has_episode" in works.columns else F.lit(True)) & ((F.col("kind") == "anime") | flag("type_guessed"))
     w = find_by_imdb(works, find).withColumn("tmdb_id", F.coalesce("tmdb_id", "found_tmdb_id")).withColumn("_exact", F.col("found_tmdb_id").isNotNull()).withColumn("_bridged", F.lit(False))
 
     def bridged(w: DataFrame) -> DataFrame:
@@ -162,17 +168,25 @@ def resolve(works: DataFrame, search: DataFrame, bridge: DataFrame, find: DataFr
     w = bridged(w)
     for source, target, kinds, options in SEARCHES:
         films = source == "tmdb"
-        tried = with_blocks(attempts_of(w.where(F.col("kind").isin(*kinds) & F.col(target).isNull()), only_season=not films, with_year_first=films), F.array("query"))
+        lacking = w.where(F.col("kind").isin(*kinds) & F.col(target).isNull())
+        tried = with_blocks(attempts_of(lacking, only_season=not films, with_year_first=films), F.array("query"))
         titles = search.where(F.col("source") == source).withColumn("titles", F.concat(F.array("title"), F.coalesce("alt_titles", F.array().cast("array<string>"))))
         titles = with_blocks(titles, F.col("titles"))
         if films:
-            own = F.when(F.col("kind") == "movie", "movie").otherwise("tv")
-            tried, titles = tried.withColumn("block", F.concat_ws("|", own, "block")), titles.withColumn("block", F.concat_ws("|", "kind", "block"))
-        hit = best_match(tried, titles, block="block", min_score=min_score, **options).select("work", F.col("work_id").alias(f"_{source}_id"), F.col("match_score").alias(f"_{source}_score"))
+            own, other = F.when(F.col("kind") == "movie", "movie").otherwise("tv"), F.when(F.col("kind") == "movie", "tv").otherwise("movie")
+            more = with_blocks(attempts_of(lacking.where(either), with_year_first=True), F.array("query")).withColumn("attempt", F.col("attempt") + _OTHER_KIND)
+            tried = tried.withColumn("block", F.concat_ws("|", own, "block")).unionByName(more.withColumn("block", F.concat_ws("|", other, "block")))
+            titles = titles.withColumn("block", F.concat_ws("|", "kind", "block"))
+        hit = best_match(tried, titles, block="block", min_score=min_score, **options).select("work", F.col("work_id").alias(f"_{source}_id"), F.col("match_score").alias(f"_{source}_score"), F.col("attempt").alias(f"_{source}_attempt"))
         w = w.join(hit, "work", "left").withColumn(target, F.coalesce(target, f"_{source}_id"))
         if source == "anilist":
             w = bridged(w)
-    w = external_ids(w, external)
+    own, other = F.when(F.col("kind") == "movie", "movie").otherwise("tv"), F.when(F.col("kind") == "movie", "tv").otherwise("movie")
+    known = F.coalesce(F.col("found_kind"), F.when(F.col("_tmdb_attempt") >= _OTHER_KIND, other).when(F.col("_tmdb_attempt").isNotNull(), own))
+    w = external_ids(w.withColumn("_kind_of_id", F.coalesce(known, own)), external, kind="_kind_of_id")
+    # an id that was there before, of a work whose kind is a guess, may be of the other kind
+    w = external_ids(w.withColumnRenamed("found_imdb_id", "_own_imdb_id").withColumn("_kind_of_id", F.when(known.isNull() & flag("type_guessed") & F.col("_own_imdb_id").isNull(), other)), external, kind="_kind_of_id")
+    w = w.withColumn("found_imdb_id", F.coalesce("_own_imdb_id", F.when(F.col("_kind_of_id").isNotNull(), F.col("found_imdb_id"))))
     found = F.col("imdb_id").isNull() & F.col("found_imdb_id").rlike("^tt[0-9]+$")
     w = w.withColumn("_by_tmdb", F.col("_exact") | F.col("_tmdb_id").isNotNull() | F.coalesce(found, F.lit(False))).withColumn("imdb_id", F.when(found, F.col("found_imdb_id")).otherwise(F.col("imdb_id")))
     used = F.concat_ws("+", F.when(F.col("_by_tmdb"), "tmdb"), F.when(F.col("_anilist_id").isNotNull(), "anilist"), F.when(F.col("_bridged") | F.col("_kitsu_id").isNotNull(), "kitsu"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Points by factor and value (fixed values); what isn't listed has none.
@@ -48,29 +49,42 @@ def mark_survivors(rows: DataFrame, *, group: list[str], key: str = "id", score_
     higher score, then more popular, fresher, larger, and the smaller key. If a language's best has it only in subtitles, the first row with it as audio
     within ``margin`` points takes its place. Groups of one stay, as do groups whose ``episode`` is full, where nothing says that the rows are the same part.
 
-    One shuffle by the group; all windows share it and each language's order.
+    All that decides are least values by group, combined before the shuffle, so a group of any size is a row for each task; the winners then join the rows, where adaptive
+    execution can split a hot group. Null group values are a group.
     """
     lang = lambda n: F.coalesce(F.col(f"{language}.{n}"), F.lit(False))
     es = lang("spanish") | (lang("unknown") & F.lit(unknown_as == "spanish"))
     en = lang("english") | (lang("unknown") & F.lit(unknown_as == "english"))
     alone = (lang("unknown") & F.lit(unknown_as not in ("english", "spanish"))) | (lang("other") & F.lit(other_policy == "keep"))
-    order = [F.col(score_col).desc(), F.coalesce(F.col(popularity), F.lit(0)).desc(), F.coalesce(F.unix_millis(F.col(freshness).cast("timestamp")), F.lit(0)).desc(), F.coalesce(F.col(size), F.lit(0)).desc(), F.col(key).asc()]
-    whole = Window.partitionBy(*group)
-    df = rows.withColumn("_es", es).withColumn("_en", en).withColumn("_alone", alone).withColumn("_n", F.count("*").over(whole))
-    df = df.withColumn("_all", F.row_number().over(whole.orderBy(*order)))
-    for member, audio in (("_es", spanish_audio), ("_en", english_audio)):
-        has = F.coalesce(F.col(audio), F.lit(False))
-        ranked = Window.partitionBy(*group, member).orderBy(*order)
-        rest = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        df = df.withColumn(f"{member}_rank", F.row_number().over(ranked)).withColumn(f"{member}_top", F.first(score_col).over(rest)).withColumn(f"{member}_dubbed", F.first(has).over(rest))
-        fits = has & (F.col(f"{member}_rank") > 1) & (F.col(f"{member}_top") - F.col(score_col) <= margin)
-        promoted = F.min(F.when(fits, F.col(f"{member}_rank"))).over(Window.partitionBy(*group, member))
-        df = df.withColumn(f"{member}_wins", F.col(member) & (F.col(f"{member}_rank") == F.when(F.col(f"{member}_dubbed"), 1).otherwise(F.coalesce(promoted, F.lit(1)))))
-    chosen = F.col("_es_wins") | F.col("_en_wins") | F.col("_alone")
-    df = df.withColumn("_chosen", chosen).withColumn("_any", F.max(chosen).over(whole))
+    minus = lambda c: -F.coalesce(c, F.lit(0))
+    # the least place is the best row; a row without a score comes last
+    place = F.struct(
+        F.col(score_col).isNull().alias("unscored"), (-F.col(score_col)).alias("score"), minus(F.col(popularity)).alias("popularity"), minus(F.unix_millis(F.col(freshness).cast("timestamp"))).alias("freshness"),
+        minus(F.col(size)).alias("size"), F.col(key).alias("key"),
+    )
+    classes = {"es": (es, spanish_audio), "en": (en, english_audio)}
+    best = [F.count("*").alias("_n"), F.min(place).alias("_all"), F.max(alone).alias("_alone")]
+    for name, (member, audio) in classes.items():
+        dubbed = F.coalesce(F.col(audio), F.lit(False))
+        best += [F.min(F.when(member, F.struct(place.alias("place"), dubbed.alias("dubbed")))).alias(f"_{name}"), F.min(F.when(member & dubbed, place)).alias(f"_{name}_dubbed")]
+    groups = rows.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]).agg(*best)
+
+    def winner(name: str) -> Column:
+        top, dubbed = F.col(f"_{name}"), F.col(f"_{name}_dubbed")
+        near = dubbed.isNotNull() & ~top["dubbed"] & (dubbed["score"] - top["place"]["score"] <= margin)
+        return F.when(near, dubbed["key"]).otherwise(top["place"]["key"])
+
+    groups = groups.select(*[f"_g{i}" for i in range(len(group))], "_n", "_alone", F.col("_all.key").alias("_first"), *[winner(name).alias(f"_{name}_wins") for name in classes], (F.col("_es").isNull() & F.col("_en").isNull() & ~F.col("_alone")).alias("_none"))
+    same = [rows[g].eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
+    joined = rows.join(groups, _all(same))
     full = (F.col(episode) == "full") if episode else F.lit(False)
-    keep = (F.col("_n") == 1) | full | F.col("_chosen") | (~F.col("_any") & (F.col("_all") == 1))
-    return df.withColumn("keep", keep).select(*rows.columns, "keep")
+    mine = lambda c: F.coalesce(F.col(key) == F.col(c), F.lit(False))
+    keep = (F.col("_n") == 1) | F.coalesce(full, F.lit(False)) | mine("_es_wins") | mine("_en_wins") | alone | (F.col("_none") & mine("_first"))
+    return joined.withColumn("keep", keep).select(*[rows[c] for c in rows.columns], "keep")
+
+
+def _all(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions)
 
 
 def delete_set(marked: DataFrame, key: str = "id") -> DataFrame:

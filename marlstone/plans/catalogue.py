@@ -562,6 +562,30 @@ def resolve_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.resolve(works, search, bridge, find, external).select("work", "tmdb_id", "imdb_id", "ids_source", "ids_confidence")
 
 
+@_query(
+    """SELECT c_custkey AS work, CASE WHEN c_custkey % 5 = 3 OR c_custkey % 10 = 4 THEN c_custkey + 5000000 END AS tmdb_id, CASE c_custkey % 5 WHEN 0 THEN c_custkey WHEN 1 THEN c_custkey + 3000000 END AS anilist_id,
+    CASE WHEN c_custkey % 5 < 2 THEN c_custkey + 1000000 WHEN c_custkey % 5 = 2 THEN c_custkey + 4000000 END AS kitsu_id, CASE WHEN c_custkey % 5 < 2 THEN c_custkey + 2000000 END AS mal_id,
+    CASE WHEN c_custkey % 5 = 3 THEN 'tt1' || c_custkey WHEN c_custkey % 10 = 4 THEN 'tt2' || c_custkey END AS imdb_id,
+    CASE c_custkey % 5 WHEN 0 THEN 'kitsu' WHEN 1 THEN 'anilist+kitsu' WHEN 2 THEN 'kitsu' WHEN 3 THEN 'tmdb' ELSE CASE WHEN c_custkey % 10 = 4 THEN 'tmdb' ELSE 'none' END END AS ids_source,
+    CASE WHEN c_custkey % 5 IN (1, 2, 3) OR c_custkey % 10 = 4 THEN 1.0 END::DOUBLE AS ids_confidence FROM customer"""
+)
+def resolve_cascade_anime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anime by the bridge, by AniList's and Kitsu's titles and alternative titles, and by TMDB's series, or films where there are no episodes."""
+    c = _t(spark, sf_dir, "customer")
+    k, none, m = F.col("c_custkey"), F.lit(None).cast("long"), F.col("c_custkey") % 5
+    title = F.concat(F.lit("w"), F.md5(k.cast("string")))
+    works = c.select(k.alias("work"), F.lit("anime").alias("kind"), title.alias("title"), F.lit(None).cast("int").alias("year"), F.lit(False).alias("has_episode"), F.lit(None).cast("string").alias("imdb_id"), none.alias("tmdb_id"), F.when(m == 0, k).alias("anilist_id"), none.alias("kitsu_id"), none.alias("mal_id"))
+    source, found = F.when(m == 1, "anilist").when(m == 2, "kitsu").otherwise("tmdb"), F.when(m == 1, k + 3000000).when(m == 2, k + 4000000).otherwise(k + 5000000)
+    kind, known_as = F.when(m == 4, "movie").otherwise("tv"), F.when(m == 1, F.concat(F.lit("x"), title)).otherwise(title)  # AniList knows them by an alternative title
+    search = c.where((m > 0) & ((m < 4) | (k % 10 == 4))).select(source.alias("source"), kind.alias("kind"), found.alias("work_id"), known_as.alias("title"), F.array(title).alias("alt_titles"), F.lit(None).cast("int").alias("year"), F.lit(0.0).alias("popularity"), F.lit(0).alias("rank"))
+    at_anilist = F.when(m == 0, k).otherwise(k + 3000000)
+    site = lambda name, external: c.where(m < 2).select(F.lit(name).alias("site"), external.alias("external_id"), (k + 1000000).alias("kitsu_id"))
+    bridge = site("anilist/anime", at_anilist).unionByName(site("myanimelist/anime", k + 2000000))
+    external = c.where(m >= 3).select(kind.alias("kind"), (k + 5000000).alias("tmdb_id"), F.concat(F.when(m == 3, "tt1").otherwise("tt2"), k.cast("string")).alias("imdb_id"))
+    find = c.where("false").select(F.lit("").alias("imdb_id"), F.lit("").alias("kind"), k.alias("tmdb_id"))
+    return enrich.resolve(works, search, bridge, find, external).select("work", "tmdb_id", "anilist_id", "kitsu_id", "mal_id", "imdb_id", "ids_source", "ids_confidence")
+
+
 @_query("SELECT event_id, user_id % 4 + 1 AS ids_attempts, TIMESTAMP '2024-01-31 00:00:00' AS ids_checked_at, CASE WHEN event_type = 'view' THEN 'tmdb' ELSE 'none' END AS ids_source, round(floor(value) / 100, 3) AS ids_confidence FROM events")
 def telemetry_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _t(spark, sf_dir, "events").select("event_id", F.when(F.col("event_type") == "view", "tmdb").alias("ids_source"), (F.floor("value") / 100).alias("ids_confidence"), (F.col("user_id") % 4).alias("ids_attempts"))

@@ -80,23 +80,27 @@ def normalize_step(table: DataFrame, c: Config, ws: Workspace, extras: Mapping)
 
 
 def enrich_step(table: DataFrame, c: Config, ws: Workspace, extras: Mapping) -> tuple[DataFrame, dict]:
-    """extras: the catalogue tables search, bridge, find and external; without them ids are only propagated."""
+    """extras: the catalogue tables search, bridge, find and external; without them ids are only propagated. A row whose title says no name is named by its stored name."""
     table = with_telemetry(table) if extras else table
-    p = parsed(F.col("title"), this_year=c.as_of.year)
-    base = table.withColumn("_p", p)
+    base = table.withColumn("_p", parsed(F.col("title"), this_year=c.as_of.year))
+    if c.clean_title_column in table.columns:
+        stored = F.when(F.col("_p.clean_title") == "", F.col(c.clean_title_column))
+        base = base.withColumn("_q", parsed(stored, this_year=c.as_of.year))
+        use = F.col("_p.clean_title") == ""
+        base = base.withColumn("_p", F.col("_p").withField("clean_title", F.when(use, F.col("_q.clean_title")).otherwise(F.col("_p.clean_title"))).withField("search_key", F.when(use, F.col("_q.search_key")).otherwise(F.col("_p.search_key"))).withField("year", F.coalesce(F.col("_p.year"), F.col("_q.year")))).drop("_q")
     ids = {n: F.col(n) for n in enrich.ID_COLUMNS}
     kind = F.coalesce(type_label(F.col("type")), F.col("_p.type"))
-    rows = base.select("id", *enrich.ID_COLUMNS, kind.alias("kind"), F.col("_p.search_key").alias("search_key"), F.col("_p.clean_title").alias("title"), F.col("_p.year").alias("year"), F.coalesce(F.col("season").cast("int"), F.col("_p.season")).alias("season"), policies.needed_ids(kind, ids, has_tmdb=c.has_tmdb, tmdb_for_anime=c.tmdb_for_anime).alias("needed"), *([F.col("ids_attempts")] if enrich.has_telemetry(table) else []))
+    rows = base.select("id", *enrich.ID_COLUMNS, kind.alias("kind"), F.col("_p.search_key").alias("search_key"), F.col("_p.clean_title").alias("title"), F.col("_p.year").alias("year"), F.coalesce(F.col("season").cast("int"), F.col("_p.season")).alias("season"), F.col("type").isNull().alias("type_guessed"), F.coalesce(F.col("_p.season"), F.col("_p.episode"), *[F.col(n).cast("int") for n in ("season", "episode", "absolute_episode") if n in table.columns]).isNotNull().alias("has_episode"), policies.needed_ids(kind, ids, has_tmdb=c.has_tmdb, tmdb_for_anime=c.tmdb_for_anime).alias("needed"), *([F.col("ids_attempts")] if enrich.has_telemetry(table) else []))
     due = F.lit(True)
     if enrich.has_telemetry(table):
         rows = rows.join(table.select("id", "ids_checked_at"), "id")
         due = policies.recheck_due(F.col("ids_checked_at"), F.col("ids_attempts"), as_of=c.as_of, days=c.recheck_days, most=c.max_attempts)
     rows = ws.save(rows.where((F.size("needed") > 0) & due & (F.col("search_key") != "")), "orphans")
-    groups = ws.save(enrich.still_needed(enrich.work_groups(rows, attempts="ids_attempts" if enrich.has_telemetry(table) else None)), "works")
+    groups = ws.save(enrich.still_needed(enrich.work_groups(rows, attempts="ids_attempts" if enrich.has_telemetry(table) else None, flags=("has_episode", "type_guessed"))), "works")
     resolved = None
     if extras:
         tasks = enrich.lookup_budget(groups, c.max_lookups).withColumn("title", F.col("search_key"))
-        resolved = ws.save(enrich.resolve(tasks.select("work", "kind", "title", "year", "season", *enrich.ID_COLUMNS), extras["search"], extras["bridge"], extras["find"], extras["external"], min_score=c.min_similarity), "resolved")
+        resolved = ws.save(enrich.resolve(tasks.select("work", "kind", "title", "year", "season", "has_episode", "type_guessed", *enrich.ID_COLUMNS), extras["search"], extras["bridge"], extras["find"], extras["external"], min_score=c.min_similarity), "resolved")
         groups = groups.drop(*enrich.ID_COLUMNS).join(resolved.select("work", *enrich.ID_COLUMNS), "work", "left").join(groups.select("work", *[F.col(i).alias(f"_o_{i}") for i in enrich.ID_COLUMNS]), "work").select("work", *[F.coalesce(i, f"_o_{i}").alias(i) for i in enrich.ID_COLUMNS])
     keys = enrich.work_key(F.col("kind"), F.col("search_key"), F.col("_y"), F.col("season"))
     same = rows.join(ws.spark.read.parquet(ws.path("works")).groupBy(F.col("kind").alias("_k"), F.col("search_key").alias("_t"), F.coalesce("season", F.lit(0)).alias("_s")).agg(F.min("year").alias("_low"), F.max("year").alias("_high")), (F.col("kind") == F.col("_k")) & (F.col("search_key") == F.col("_t")) & (F.when((F.col("kind") == "anime") & (F.col("season") > 1), F.col("season")).otherwise(0) == F.col("_s")))

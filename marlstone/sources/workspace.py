@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; only where that is unset (tests) a temporary one, which is then set."""
+    """The folder named by spark.checkpoint.dir; only where that is unset and all runs in this process (tests) a temporary one, which is then set."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="marlstone-"))
     return sc.getCheckpointDir().rstrip("/")
 
