@@ -3,72 +3,92 @@
 from __future__ import annotations
 
 import hashlib
-from collections import Counter, defaultdict
+from array import array
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrow_map import add_columns, positional
+from .workspace import Workspace
 
 #: A-Z become a-z; what is neither a letter or digit of ASCII nor beyond ASCII becomes a space.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-#: Words of benchmark text that are broadcast at a time.
-BLOCK_WORDS = 1_000_000
+#: Words of benchmark text that are broadcast at a time (about 60 bytes each), cells that words are counted in, and words whose cells a process remembers.
+BLOCK_WORDS, CELLS, REMEMBERED = 2_000_000, 1 << 20, 300_000
 
 
 def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_TABLE).split() if text else []
 
 
+def _cell(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word) & (CELLS - 1)
+
+
 class Windows:
     """The windows of some items, each filed under the rarest of its words.
 
     A window is a set of ordered words that must be contained whole, so the necessary prefix of its words in order of rarity is
-    the rarest one: a text without it can't contain the window.
+    the rarest one: a text without it can't contain the window. rarity: how often each cell of words is in documents. What is kept for a window is three numbers: its item, its first word and where its rarest is.
     """
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int, rarity: dict[bytes, int]):
-        owners: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
-        for name, words in items:
+    def __init__(self, items: list[tuple[str, list[bytes]]], window: int, rarity: np.ndarray):
+        self.window = window
+        self.names, self.words, same = [n for n, _ in items], [], {}
+        filed: dict[bytes, array] = defaultdict(lambda: array("I"))
+        for k, (_, words) in enumerate(items):
+            words = [same.setdefault(w, w) for w in words]
+            self.words.append(words)
             size = min(window, len(words))
+            rare = [(int(rarity[_cell(w)]), w) for w in words]
             for i in range(len(words) - size + 1 if size else 0):
-                owners[tuple(words[i : i + size])].add(name)
-        self.filed: dict[bytes, list[tuple[int, list[bytes], tuple[str, ...]]]] = defaultdict(list)
-        for w, names in owners.items():
-            at = min(range(len(w)), key=lambda i: (rarity.get(w[i], 0), w[i], i))
-            self.filed[w[at]].append((at, list(w), tuple(sorted(names))))
-        self.filed = dict(self.filed)
+                at = min(range(i, i + size), key=rare.__getitem__)
+                filed[words[at]].extend((k, i, at - i))
+        self.filed = dict(filed)
 
     def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """(start, end) of the windows in ``words``, and the names of the items they are of."""
-        filed, n, spans, names = self.filed, len(words), [], set()
+        filed, n, spans, names = self.filed, len(words), set(), set()
         if filed.keys().isdisjoint(words):
-            return spans, names
+            return [], names
         for i, word in enumerate(words):
             if word in filed:
-                for at, window, of in filed[word]:
-                    a = i - at
-                    if a >= 0 and a + len(window) <= n and words[a : a + len(window)] == window:
-                        spans.append((a, a + len(window)))
-                        names.update(of)
-        return spans, names
+                places = filed[word]
+                for j in range(0, len(places), 3):
+                    item, first, at = places[j], places[j + 1], places[j + 2]
+                    whole, a = self.words[item], i - at
+                    size = min(self.window, len(whole))
+                    if a >= 0 and a + size <= n and words[a : a + size] == whole[first : first + size]:
+                        spans.add((a, a + size))
+                        names.add(self.names[item])
+        return sorted(spans), names
 
 
-def _rarity(docs: DataFrame, text_col: str, vocabulary: frozenset[bytes]) -> dict[bytes, int]:
-    """Documents that each word of ``vocabulary`` is in, over all documents; tasks send their sums."""
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+def rarity_of(docs: DataFrame, text_col: str) -> np.ndarray:
+    """In how many documents the words of each cell are, over all documents. Words that share a cell are taken for commoner than they are, which costs time alone."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = sent.value, Counter()
+        cells: dict[bytes, int] = {}
+        seen = np.zeros(CELLS, np.int64)
         for batch in batches:
             for text in batch.column(0):
-                seen.update(known.intersection(words_of(text.as_py())))
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+                words = set(words_of(text.as_py()))
+                if len(cells) > REMEMBERED:
+                    cells.clear()
+                cells.update((w, _cell(w)) for w in words if w not in cells)
+                np.add.at(seen, np.fromiter(map(cells.__getitem__, words), np.int64, len(words)), 1)
+        used = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(seen[used], pa.int64())], names=["cell", "n"])
 
-    found = docs.select(text_col).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return {bytes(r.word): r.n for r in found.collect()}  # at most one block's vocabulary
+    out = np.zeros(CELLS, np.int64)
+    for r in docs.select(text_col).mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():  # at most a row for each cell
+        out[r.cell] = r.n
+    return out
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
@@ -76,39 +96,29 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int)
     held, n = [], 0
     for r in benchmark.select(F.col(id_col).cast("string"), F.col(text_col)).toLocalIterator():
         words = words_of(r[1])
-        held.append((r[0] or "", words))
-        n += len(words)
-        if n >= block_words:
+        if held and n + len(words) > block_words:
             yield held
             held, n = [], 0
+        held.append((r[0] or "", words))
+        n += len(words)
     yield held
 
 
-def _search(docs: DataFrame, benchmark: DataFrame, text: str, item_col: str, item_text_col: str, window: int, block_words: int, last: Callable, schema: str) -> DataFrame:
-    """A pass for each block of items; each hands on what it found in _spans and _names, and last(n_words, spans, names) makes a row's result."""
+def _passes(docs: DataFrame, benchmark: DataFrame, text: str, item_col: str, item_text_col: str, window: int, block_words: int) -> Iterator[tuple[Callable[[], Windows], Callable[[], None], bool]]:
+    """For each block of items: what gives its windows in a task, what frees them, and whether it is the only block. A block is broadcast when the one before has been freed."""
     blocks = _blocks(benchmark, item_col, item_text_col, block_words)
-    block, first = next(blocks), True
-    source, columns = docs, docs.columns
+    block, only, rarity = next(blocks), True, rarity_of(docs, text)
     while block is not None:
+        windows = Windows(block, window, rarity)
         following = next(blocks, None)
-        rarity = _rarity(source, text, frozenset(w for _, words in block for w in words))
-        sent = docs.sparkSession.sparkContext.broadcast(Windows(block, window, rarity))
+        sent = docs.sparkSession.sparkContext.broadcast(windows)
+        del windows
+        yield (lambda sent=sent: sent.value), sent.destroy, only and following is None
+        block, only = following, False
 
-        def start(sent=sent, end=following is None) -> Callable:
-            windows = sent.value
 
-            def row(value: str | None, spans: list | None = None, names: list | None = None) -> tuple | None:
-                words = words_of(value)
-                found, of = windows.find(words)
-                flat = [*(spans or ()), *(x for s in found for x in s)]
-                of.update(names or ())
-                return last(len(words), list(zip(flat[::2], flat[1::2], strict=True)), of) if end else (flat, sorted(of))
-
-            return row
-
-        docs = add_columns(docs, [text] if first else [text, "_spans", "_names"], schema if following is None else "_spans array<int>, _names array<string>", start, keep=columns)
-        block, first = following, False
-    return docs
+def _digest(text: str | None) -> bytes:
+    return xxhash.xxh3_128_digest((text or "").encode("utf-8", "surrogatepass"))
 
 
 def covered(spans: list[tuple[int, int]]) -> int:
@@ -127,23 +137,76 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 1
 
     Windows are ``window`` consecutive words of an item, or the whole of a shorter one. The words of a window are ordered by rarity
     (documents of the whole corpus that have them); its rarest word is joined with the documents' words; the window must
-    then fit into the text around that word, and is compared word by word. Benchmarks larger than ``block_words`` go in blocks,
-    each broadcast alone, so memory is bounded whatever the benchmark's size; documents aren't shuffled.
+    then fit into the text around that word, and is compared word by word. Rarity is counted once. Benchmarks larger than ``block_words`` go in blocks: what a block finds is
+    written, by a digest of the text, before the next one is broadcast, so a task holds one block whatever the benchmark's size; documents' texts aren't shuffled.
 
     Defined cases: null and empty texts have no words; an item without words has no window; items with one id count once, the null id is written as an empty string; repeated rows
     are judged alike; an empty benchmark leaves all clean; an empty table gives an empty result; other columns are ignored.
     """
 
-    def last(n: int, spans: list, names: set) -> tuple:
+    narrow = docs.select(F.col(id_col).alias("c0"), F.col(text_col).alias("c1"))
+
+    def judged(n: int, spans: list, names: set) -> tuple:
         return n, covered(spans), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(spans)
 
-    narrow = docs.select(F.col(id_col).alias("c0"), F.col(text_col).alias("c1"))
-    return _search(narrow, benchmark, "c1", item_col, item_text_col, window, block_words, last, RESULT).drop("c1").withColumnRenamed("c0", id_col)
+    ws = None
+    for k, (windows, free, only) in enumerate(_passes(narrow, benchmark, "c1", item_col, item_text_col, window, block_words)):
+        if only:
+
+            def start(windows=windows) -> Callable:
+                held = windows()
+
+                def row(text: str | None) -> tuple:
+                    words = words_of(text)
+                    return judged(len(words), *held.find(words))
+
+                return row
+
+            return add_columns(narrow, ["c1"], RESULT, start, keep=["c0"]).withColumnRenamed("c0", id_col)
+        ws = ws or Workspace(docs.sparkSession, "windows")
+
+        def found(windows=windows) -> Callable:
+            held, seen = windows(), set()
+
+            def row(text: str | None) -> tuple | None:
+                spans, names = held.find(words_of(text))
+                digest = _digest(text)
+                if not spans or digest in seen:  # equal texts once a task
+                    return None
+                seen.add(digest)
+                return digest, [x for s in spans for x in s], sorted(names)
+
+            return row
+
+        ws.save(add_columns(narrow, ["c1"], "digest binary, spans array<int>, names array<string>", found, keep=[]), f"found/block={k}")
+        free()
+    hits = ws.spark.read.schema("digest binary, spans array<int>, names array<string>").parquet(ws.path("found"))
+    hits = hits.groupBy("digest").agg(F.flatten(F.collect_set("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("names"))).alias("names"))
+    rows = add_columns(narrow, ["c1"], "digest binary, n long", lambda: lambda text: (_digest(text), len(words_of(text))), keep=["c0"]).join(hits, "digest", "left")
+
+    def last() -> Callable:
+        return lambda n, spans, names: judged(n, list(zip(spans[::2], spans[1::2], strict=True)) if spans else [], set(names or ()))
+
+    return add_columns(rows.drop("digest"), ["n", "spans", "names"], RESULT, last, keep=["c0"]).withColumnRenamed("c0", id_col)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of ``docs`` without any benchmark window, with their columns."""
+    """The rows of ``docs`` without any benchmark window, with their columns. Of a benchmark of several blocks each leaves what it keeps to the next, written once a block.
+
+    Defined cases: those of ``find_contamination``; rows without a text stay, and columns of any name do.
+    """
     safe, names = positional(docs)
-    text = f"c{names.index(text_col)}"
-    clean = _search(safe, benchmark, text, item_col, item_text_col, window, block_words, lambda n, spans, names: None if spans else (True,), "_clean boolean")
-    return clean.drop("_clean").toDF(*names)
+    text, ws = f"c{names.index(text_col)}", None
+    for k, (windows, free, only) in enumerate(_passes(safe, benchmark, text, item_col, item_text_col, window, block_words)):
+
+        def start(windows=windows) -> Callable:
+            held = windows()
+            return lambda value: None if held.find(words_of(value))[0] else (True,)
+
+        safe = add_columns(safe, [text], "_clean boolean", start).drop("_clean")
+        if not only:
+            ws = ws or Workspace(docs.sparkSession, "clean")
+            safe = ws.save(safe, f"block-{k}")
+            ws.drop(f"block-{k - 1}")
+            free()
+    return safe.toDF(*names)

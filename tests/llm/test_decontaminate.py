@@ -47,15 +47,46 @@ def test_against_brute_force(spark, block_words):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, brute(docs, bench)))
 
 
-def test_drop(spark):
+@pytest.mark.parametrize("block_words", [1_000_000, 30])
+def test_drop(spark, block_words):
     docs, bench = made(2)
     df = spark.createDataFrame(docs, SCHEMA)
-    got = decontaminate.drop_contaminated(df, spark.createDataFrame(bench, "item_id long, text string"))
+    got = decontaminate.drop_contaminated(df, spark.createDataFrame(bench, "item_id long, text string"), block_words=block_words)
     assert got.columns == df.columns
     clean = [d for d, b in zip(docs, brute(docs, bench), strict=True) if not b[5]]
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, clean))
 
 
+def test_one_block_is_broadcast_at_a_time(spark, monkeypatch):
+    docs, bench = made(3)
+    held, most = set(), []
+    broadcast = spark.sparkContext.broadcast
+
+    def counted(value):
+        sent = broadcast(value)
+        if isinstance(value, decontaminate.Windows):
+            held.add(id(sent))
+            most.append((len(held), sum(map(len, value.words))))
+            destroy = sent.destroy
+            sent.destroy = lambda: (held.discard(id(sent)), destroy())
+        return sent
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", counted)
+    got = decontaminate.find_contamination(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(bench, "item_id long, text string"), block_words=30)
+    assert len(most) > 4 and all(n == 1 and words <= 30 for n, words in most) and not held
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, brute(docs, bench)))
+
+
+def test_memory_of_windows():
+    """What a window costs when it is sent: a word's reference and three numbers, not a copy of its words."""
+    import pickle
+
+    rng = random.Random(4)
+    items = [(str(k), [b"w%d" % rng.randrange(20_000) for _ in range(1_000)]) for k in range(100)]
+    windows = decontaminate.Windows(items, 10, decontaminate.np.zeros(decontaminate.CELLS, "int64"))
+    assert len(pickle.dumps(windows)) < 30 * 100_000
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_contamination(spark.createDataFrame([], SCHEMA), none).count() == 0
