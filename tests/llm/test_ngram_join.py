@@ -73,6 +73,35 @@ def test_blocks_lose_nothing(spark, monkeypatch):
     assert Counter(map(tuple, got.collect())) == Counter(brute(rows))
 
 
+def test_chance_chains_join_nothing(spark):
+    """Unrelated sets in a chain of buckets with two each, and similar ones in a bucket whose lowest is unrelated: the first aren't one component, the others are found."""
+    ws = Workspace(spark, "t")
+    rng = random.Random(2)
+    brief = lambda: [rng.randint(-128, 127) for _ in range(120)]
+    one = brief()
+    near = [x if rng.random() < 0.85 else 0 for x in one]
+    sets = [(i, brief()) for i in range(40)] + [(100, one), (101, near)]
+    kinds = "cast(node as decimal(38,0)) as node"
+    sets = spark.createDataFrame(sets, "node long, brief array<tinyint>").selectExpr(kinds, "brief")
+    chain = [(0, h, n) for h in range(39) for n in (h, h + 1)]
+    buckets = spark.createDataFrame([*chain, (1, 7, 5), (1, 7, 100), (1, 7, 101), (1, 8, 6), (1, 8, 9)], "band int, hash long, node long").selectExpr("band", "hash", kinds)
+    got = {tuple(map(int, r)) for r in ngram_join._edges(buckets, sets, ws).collect()}
+    assert got == {(101, 100)}
+    many = spark.createDataFrame([(0, 1, n) for n in range(30)], "band int, hash long, node long").selectExpr("band", "hash", kinds)
+    kept = {tuple(map(int, r)) for r in ngram_join._edges(many, sets, Workspace(spark, "t")).collect()}
+    assert len(kept) == 26  # what the rounds can't part stays together
+
+
+def test_filter(spark, monkeypatch):
+    nodes = spark.range(3000).selectExpr("cast(id * 7919 as decimal(38,0)) as node")
+    for least in (1 << 20, 1 << 10):
+        monkeypatch.setattr(ngram_join, "FILTER_LEAST", least)
+        bits = ngram_join.np.frombuffer(ngram_join._node_filter(nodes), "uint8")
+        assert all(ngram_join._holds(bits, i * 7919) for i in range(3000))
+        assert sum(ngram_join._holds(bits, i * 7919 + 1) for i in range(3000)) < 300
+    assert len(ngram_join._node_filter(nodes.limit(0))) == (1 << 10) // 8
+
+
 def test_one_of_each(spark):
     rows = made(5) + [(None, "just a text that is here twice", "y"), (None, "just a text that is here twice", "y"), (None, "and another one that nobody has here", "y"), (3, dict((r[0], r[1]) for r in made(5))[3], "x")]
     df = spark.createDataFrame(rows, SCHEMA)
