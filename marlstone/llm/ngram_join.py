@@ -177,39 +177,60 @@ def _places(bits: int) -> tuple[int, int]:
     return bits, bits - 39
 
 
-def _node_filter(nodes: DataFrame) -> bytes:
-    """A Bloom filter of the nodes, combined word by word before it reaches the driver: 32 MB at most. Beyond 16 million nodes it lets more through, which costs shuffle alone."""
-    bits = FILTER_LEAST
-    while bits < FILTER_MOST and bits < FILTER_BITS * nodes.count():
+def _filter(numbers: DataFrame) -> bytes:
+    """A Bloom filter of the whole numbers of a frame's one column, combined word by word before it reaches the driver: 32 MB at most. Beyond 16 million it lets more through, which costs shuffle alone."""
+    numbers, bits = numbers.toDF("v"), FILTER_LEAST
+    n = numbers.count()
+    while bits < FILTER_MOST and bits < FILTER_BITS * n:
         bits *= 2
-    place = F.explode(F.array(*[F.expr(f"cast(node % {m} as int)") for m in _places(bits)])).alias("place")
-    words = nodes.select(place).groupBy(F.expr("place div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, place % 64)")).alias("bits")).toArrow()
+    place = F.explode(F.array(*[F.expr(f"cast(pmod(v, {m}) as int)") for m in _places(bits)])).alias("place")
+    words = numbers.select(place).groupBy(F.expr("place div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, place % 64)")).alias("bits")).toArrow()
     out = np.zeros(bits // 64, np.int64)
     out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return out.tobytes()
 
 
-def _holds(bits: np.ndarray, node: Decimal) -> bool:
-    return all(bits[(p := int(node) % m) >> 3] >> (p & 7) & 1 for m in _places(8 * len(bits)))
+def _holds(bits: np.ndarray, number: int | Decimal) -> bool:
+    return all(bits[(p := int(number) % m) >> 3] >> (p & 7) & 1 for m in _places(8 * len(bits)))
 
 
-def _distinct_texts(docs: DataFrame, text_col: str, n: int, nodes: DataFrame) -> DataFrame:
+class _Chosen:
+    """Which rows have one of some sets of n-grams: by their ids first, so that only texts that may have one are read again."""
+
+    def __init__(self, rows: DataFrame, nodes: DataFrame):
+        """rows: (id, node) of all rows; nodes: the chosen ones."""
+        send = nodes.sparkSession.sparkContext.broadcast
+        self._sent = send(_filter(rows.join(nodes.distinct(), "node").select(F.xxhash64("id")))), send(_filter(nodes))
+
+    def test(self, n: int) -> Callable[[str | None, int], Decimal | None]:
+        """In a task: the node of a text, given the hash of its row's id, if it may be a chosen one."""
+        ids, nodes = (np.frombuffer(x.value, np.uint8) for x in self._sent)
+        grams = Grams(n)
+
+        def chosen(text: str | None, id_hash: int) -> Decimal | None:
+            node = digest(grams(text)) if _holds(ids, id_hash) else None
+            return node if node is not None and _holds(nodes, node) else None
+
+        return chosen
+
+
+def _distinct_texts(docs: DataFrame, id_col: str, text_col: str, n: int, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, text) of the texts that may be of ``nodes``: each set of n-grams once for each task that reads it, so that copies are few before the shuffle."""
-    sent = docs.sparkSession.sparkContext.broadcast(_node_filter(nodes))
+    which = _Chosen(rows, nodes)
 
     def start() -> Callable:
-        grams, seen, bits = Grams(n), set(), np.frombuffer(sent.value, np.uint8)
+        test, seen = which.test(n), set()
 
-        def row(text: str | None) -> tuple | None:
-            node = digest(grams(text))
-            if node is None or node in seen or not _holds(bits, node):
+        def row(text: str | None, id_hash: int) -> tuple | None:
+            node = test(text, id_hash)
+            if node is None or node in seen:
                 return None
             seen.add(node)
             return (node,)
 
         return row
 
-    return add_columns(docs.select(F.col(text_col).alias("text")), ["text"], "node decimal(38,0)", start)
+    return add_columns(docs.select(F.xxhash64(id_col).alias("id_hash"), F.col(text_col).alias("text")), ["text", "id_hash"], "node decimal(38,0)", start, keep=["text"])
 
 
 #: Shares of equal values of two signatures: below the first two sets aren't similar, from the second on a set is near enough to its bucket's lowest that what is similar to it is above the first too.
@@ -266,7 +287,7 @@ def _classes(docs: DataFrame, ws: Workspace, id_col: str, text_col: str, n: int,
     placed = ws.save(members.join(sizes, "component").select("node", "component", "copies", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block")), "placed")
     # every two blocks of a group meet once; a group of one block meets itself
     meets = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("low"), F.greatest(o, F.col("block")).alias("high"))))
-    one_each = _distinct_texts(docs, text_col, n, placed.select("node")).join(placed, "node").dropDuplicates(["node"])
+    one_each = _distinct_texts(docs, id_col, text_col, n, sketches.select("id", "node"), placed.select("node")).join(placed, "node").dropDuplicates(["node"])
     dealt = one_each.withColumn("meet", meets).select("component", "meet.low", "meet.high", "block", "node", "copies", "text")
     keys = ["component", "low", "high"]
     linked = ws.save(dealt.repartition(partitions(spark), *keys).sortWithinPartitions(*keys).mapInArrow(_verify(n, threshold), "node decimal(38,0), links long, root decimal(38,0)"), "linked")
@@ -304,16 +325,16 @@ def one_of_each(docs: DataFrame, ws: Workspace, *, id_col: str = "doc_id", text_
     """Rows of ``docs``, with their columns: the one with the smallest id of each class of ``join_ngrams``, and all without words."""
     safe, names = positional(docs)
     ident, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
-    _, classes = _classes(safe, ws, ident, text, n, threshold, recall)
+    rows, classes = _classes(safe, ws, ident, text, n, threshold, recall)
     classes = ws.save(classes, "classes")
-    sent = docs.sparkSession.sparkContext.broadcast(_node_filter(classes.where("n_links > 0").select("node")))
+    which = _Chosen(rows, classes.where("n_links > 0").select("node"))
 
     def start(linked: bool) -> Callable:
-        grams, seen, bits = Grams(n), set(), np.frombuffer(sent.value, np.uint8)
+        test, seen = which.test(n), set()
 
-        def row(value: str | None, id_: int | None) -> tuple | None:
-            node = digest(grams(value))
-            if (node is not None and _holds(bits, node)) != linked:
+        def row(value: str | None, id_: int | None, id_hash: int) -> tuple | None:
+            node = test(value, id_hash)
+            if (node is not None) != linked:
                 return None
             if linked:
                 if (node, id_) in seen:  # rows with equal ids and texts: one a task
@@ -324,7 +345,7 @@ def one_of_each(docs: DataFrame, ws: Workspace, *, id_col: str = "doc_id", text_
         return row
 
     def marked(linked: bool) -> DataFrame:
-        return add_columns(safe, [text, ident], "_node decimal(38,0)", lambda: start(linked))
+        return add_columns(safe.withColumn("_id_hash", F.xxhash64(ident)), [text, ident, "_id_hash"], "_node decimal(38,0)", lambda: start(linked), keep=safe.columns)
 
     # what surely has no link stays where it is; the rest is joined with the winner of its class, the smallest node of those with its smallest id
     winners = classes.where(F.col("first").eqNullSafe(F.col("class_id"))).groupBy("component").agg(F.min("node").alias("_node"), F.min("class_id").alias("_class")).drop("component")

@@ -96,10 +96,13 @@ def test_filter(spark, monkeypatch):
     nodes = spark.range(3000).selectExpr("cast(id * 7919 as decimal(38,0)) as node")
     for least in (1 << 20, 1 << 10):
         monkeypatch.setattr(ngram_join, "FILTER_LEAST", least)
-        bits = ngram_join.np.frombuffer(ngram_join._node_filter(nodes), "uint8")
+        bits = ngram_join.np.frombuffer(ngram_join._filter(nodes), "uint8")
         assert all(ngram_join._holds(bits, i * 7919) for i in range(3000))
         assert sum(ngram_join._holds(bits, i * 7919 + 1) for i in range(3000)) < 300
-    assert len(ngram_join._node_filter(nodes.limit(0))) == (1 << 10) // 8
+    signed = spark.range(-50, 50).selectExpr("xxhash64(id) as h")
+    bits = ngram_join.np.frombuffer(ngram_join._filter(signed), "uint8")
+    assert all(ngram_join._holds(bits, r.h) for r in signed.collect())
+    assert len(ngram_join._filter(nodes.limit(0))) == (1 << 10) // 8
 
 
 def test_one_of_each(spark):
