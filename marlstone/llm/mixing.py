@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -10,17 +11,24 @@ from pyspark.sql import functions as F
 from .workspace import Workspace
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows that a range of a source holds, about, if all rows were of that source.
+RANGE_ROWS = 1 << 16
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str, bucket_digits: int) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str) -> DataFrame:
     text, ident = F.col(text_col), F.col(id_col).cast("string")
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(ident, F.concat(F.lit("null:"), F.md5(F.coalesce(text, F.lit("")))))))
     return docs.select(
         "*",
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("_mix_size"),
         key.alias("_mix_key"),
+        F.xxhash64(text).alias("_mix_text"),
         F.when(F.col(source_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source_col))).alias("_mix_source"),
-    ).withColumn("_mix_bucket", F.conv(F.substring("_mix_key", 1, bucket_digits), 16, 10).cast("int"))
+    )
+
+
+def _in_ranges(keyed: DataFrame, digits: int) -> DataFrame:
+    return keyed.withColumn("_mix_bucket", F.conv(F.substring("_mix_key", 1, digits), 16, 10).cast("int"))
 
 
 def _ranked(sources: DataFrame, ws: Workspace) -> DataFrame:
@@ -52,11 +60,11 @@ def _targets(sources: DataFrame, weights: Sequence[int], cap: int, ws: Workspace
         capped, n = share > F.col("_most"), now
 
 
-def plan_mix(docs: DataFrame, ws: Workspace, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[int] = (1, 2, 3), cap: int = 3, seed: str = "mix", bucket_digits: int = 3, carry: Sequence[str] | None = None) -> DataFrame:
+def plan_mix(docs: DataFrame, ws: Workspace, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[int] = (1, 2, 3), cap: int = 3, seed: str = "mix", bucket_digits: int | None = None, carry: Sequence[str] | None = None) -> DataFrame:
     """Mix ``docs`` so that each source's words come to its target exactly.
 
     Every row gets a hash-random key (md5 of seed and id). The keys are uniform, so their leading hex digits cut each source
-    into ranges of equal expectation, however many rows a source has: 16**bucket_digits ranges a source, each small enough to be sorted by one
+    into ranges of equal expectation, however many rows a source has: 16**bucket_digits ranges a source (by default so many that one holds RANGE_ROWS, had one source all rows), each small enough to be sorted by one
     task. A distributed prefix sum over the ranges plus one inside a range gives each row the words before it; a source
     takes its rows floor(target / total) times whole and then up to its exact budget, whose last row counts in part.
 
@@ -65,19 +73,21 @@ def plan_mix(docs: DataFrame, ws: Workspace, *, id_col: str = "doc_id", text_col
     ``_mix_epochs``.
 
     Defined cases: a null text has 0 words; the null source is a source of its own, weighed last; a source without words has
-    target 0; rows without an id are keyed by their text; equal rows tie and either order gives the same rows; an empty
+    target 0; rows without an id are keyed by their text; rows with one id go by size and then by a hash of their text, and equal rows tie, where either order gives the same rows; an empty
     table gives an empty result. Other columns are ignored.
     """
     names = [id_col] if carry is None else list(carry)
     need = list(dict.fromkeys([*names, id_col, text_col, source_col]))
-    narrow = _keyed(docs.select(id_col, text_col, source_col), id_col, text_col, source_col, seed, bucket_digits).drop(text_col, source_col)
+    narrow = _keyed(docs.select(id_col, text_col, source_col), id_col, text_col, source_col, seed).drop(text_col, source_col)
     narrow = ws.save(narrow, "keys")
+    digits = bucket_digits or min(6, max(2, math.ceil(math.log(max(1, narrow.count()) / RANGE_ROWS, 16))))
+    narrow = _in_ranges(narrow, digits)
     ranges = ws.save(narrow.groupBy("_mix_source", "_mix_bucket").agg(F.sum("_mix_size").alias("_in_range")), "ranges")
     sources = _targets(ranges.groupBy("_mix_source").agg(F.sum("_in_range").alias("_mix_total")), weights, cap, ws)
     prefix = F.sum("_in_range").over(Window.partitionBy("_mix_source").orderBy("_mix_bucket")) - F.col("_in_range")
     cuts = ranges.withColumn("_range_before", prefix).drop("_in_range").join(sources.select("_mix_source", "_mix_total", "_mix_target"), "_mix_source")
-    rows = narrow if carry is None else _keyed(docs.select(need), id_col, text_col, source_col, seed, bucket_digits)
-    inside = Window.partitionBy("_mix_source", "_mix_bucket").orderBy("_mix_key", id_col, "_mix_size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = narrow if carry is None else _in_ranges(_keyed(docs.select(need), id_col, text_col, source_col, seed), digits)
+    inside = Window.partitionBy("_mix_source", "_mix_bucket").orderBy("_mix_key", id_col, "_mix_size", "_mix_text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     budget = F.floor("_mix_target").cast("long")
     size, total, rest = F.col("_mix_size"), F.col("_mix_total"), F.col("_mix_rest")
     out = (

@@ -62,6 +62,14 @@ def test_partitions_dont_matter(spark):
     assert a == b
 
 
+def test_equal_ids_and_sizes(spark):
+    """Of rows with one id and size but other texts the mix takes the same ones, however they come."""
+    rows = [(7, f"word{i} b c", "a", None) for i in range(12)] + [(i, "x y z", "b", None) for i in range(20, 40)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    a, b = (Counter(map(tuple, mixing.mixed_documents(d, Workspace(spark, "t")).collect())) for d in (df.repartition(5, "text"), df.orderBy(mixing.F.desc("text")).coalesce(1)))
+    assert a == b and len({r for r in a if r[0] == 7}) < 12
+
+
 def test_documents(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     got = mixing.mixed_documents(df, Workspace(spark, "t"))
