@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from array import array
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,7 +18,7 @@ from .workspace import Workspace
 
 #: A-Z become a-z; what is neither a letter or digit of ASCII nor beyond ASCII becomes a space.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-#: Words of benchmark text that are broadcast at a time (about 60 bytes each), cells that words are counted in, and words whose cells a process remembers.
+#: Words of benchmark text that are broadcast at a time (about 60 bytes each), cells that words are counted in, and words that a task counts before it adds them up by cell.
 BLOCK_WORDS, CELLS, REMEMBERED = 2_000_000, 1 << 20, 300_000
 
 
@@ -69,30 +69,36 @@ class Windows:
         return sorted(spans), names
 
 
-def rarity_of(docs: DataFrame, text_col: str) -> np.ndarray:
-    """In how many documents the words of each cell are, over all documents. Words that share a cell are taken for commoner than they are, which costs time alone."""
+def rarity_of(docs: DataFrame, text_col: str, known: frozenset[bytes] | None = None) -> np.ndarray:
+    """In how many documents the words of each cell are, over all documents; of the words of ``known`` alone if given. Words that share a cell are taken for commoner than they are, which costs time alone."""
+    sent = None if known is None else docs.sparkSession.sparkContext.broadcast(known)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells: dict[bytes, int] = {}
-        seen = np.zeros(CELLS, np.int64)
+        seen: Counter[bytes] = Counter()
+        cells = np.zeros(CELLS, np.int64)
+
+        def settle() -> None:
+            np.add.at(cells, np.fromiter(map(_cell, seen), np.int64, len(seen)), np.fromiter(seen.values(), np.int64, len(seen)))
+            seen.clear()
+
         for batch in batches:
             for text in batch.column(0):
-                words = set(words_of(text.as_py()))
-                if len(cells) > REMEMBERED:
-                    cells.clear()
-                cells.update((w, _cell(w)) for w in words if w not in cells)
-                np.add.at(seen, np.fromiter(map(cells.__getitem__, words), np.int64, len(words)), 1)
-        used = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(seen[used], pa.int64())], names=["cell", "n"])
-
+                words = words_of(text.as_py())
+                seen.update(set(words) if sent is None else sent.value.intersection(words))
+                if len(seen) > REMEMBERED:
+                    settle()
+        settle()
+        used = np.flatnonzero(cells)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(cells[used], pa.int64())], names=["cell", "n"])
+
+    found = docs.select(text_col).mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most a row for each cell
     out = np.zeros(CELLS, np.int64)
-    for r in docs.select(text_col).mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():  # at most a row for each cell
-        out[r.cell] = r.n
+    out[found.column("cell").to_numpy()] = found.column("n").to_numpy()
     return out
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The items in blocks of about ``block_words`` words; the driver holds one at a time."""
+    """The items in blocks of about ``block_words`` words; the driver holds two at a time."""
     held, n = [], 0
     for r in benchmark.select(F.col(id_col).cast("string"), F.col(text_col)).toLocalIterator():
         words = words_of(r[1])
@@ -107,14 +113,15 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int)
 def _passes(docs: DataFrame, benchmark: DataFrame, text: str, item_col: str, item_text_col: str, window: int, block_words: int) -> Iterator[tuple[Callable[[], Windows], Callable[[], None], bool]]:
     """For each block of items: what gives its windows in a task, what frees them, and whether it is the only block. A block is broadcast when the one before has been freed."""
     blocks = _blocks(benchmark, item_col, item_text_col, block_words)
-    block, only, rarity = next(blocks), True, rarity_of(docs, text)
+    block, following = next(blocks), next(blocks, None)
+    only = following is None
+    rarity = rarity_of(docs, text, frozenset(w for _, words in block for w in words) if only else None)
     while block is not None:
         windows = Windows(block, window, rarity)
-        following = next(blocks, None)
         sent = docs.sparkSession.sparkContext.broadcast(windows)
         del windows
-        yield (lambda sent=sent: sent.value), sent.destroy, only and following is None
-        block, only = following, False
+        yield (lambda sent=sent: sent.value), sent.destroy, only
+        block, following = following, next(blocks, None)
 
 
 def _digest(text: str | None) -> bytes:
