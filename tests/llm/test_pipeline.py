@@ -3,35 +3,29 @@
 import zlib
 
 import numpy as np
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from marlstone.llm import decontaminate, quality, vocab
 from marlstone.llm.queries import vocabulary
 
 SF = "/root/testdata/sf0.001"
 
 
 def plain(rows, bench):
-    """quality, near duplicates, decontamination by all pairs and all windows."""
-    from test_decontaminate import brute as windows
+    """quality by the tokenizer as it comes, near duplicates by all pairs, decontamination by all windows."""
+    from plain_quality import kept
+    from test_decontaminate import words
     from test_ngram_join import brute as classes
 
-    enc, part = vocab.rank_encoder(vocabulary("byte_bpe_multi_50k.tiktoken"))
-
-    def good(r):
-        n, _, _, _, repeated = quality.base_counts(r.text or "")
-        if n < 50 or 100 * repeated > 50 * n:
-            return False
-        ids = enc.encode(r.text)
-        return quality.in_band(quality.LANGUAGES.get(r.lang) or quality.SCRIPTS[quality.script(r.text)], len(ids), *quality.fertility(ids, part, len(r.text)))
-
-    one = [r for r in rows if good(r)]
+    one = [r for r in rows if kept(r.text, r.lang)]
     two = [r for r, (i, c, _) in zip(one, classes([(r.doc_id, r.text) for r in one]), strict=True) if i == c]
-    found = decontaminate.Windows([(str(b.item_id), decontaminate.words_of(b.text)) for b in bench], 10, {})
-    three = [r for r in two if not found.find(decontaminate.words_of(r.text))[0]]
-    few = three[:3]
-    assert [w[5] for w in windows([(r.doc_id, r.text) for r in few], [(b.item_id, b.text) for b in bench])] == [False] * len(few)
-    return one, two, three
+    windows = set()
+    for b in bench:
+        w = words(b.text)
+        n = min(10, len(w))
+        windows |= {tuple(w[i : i + n]) for i in range(len(w) - n + 1) if n}
+    clean = lambda w: not any(tuple(w[i : i + n]) in windows for n in {len(x) for x in windows} for i in range(len(w) - n + 1))
+    return one, two, [r for r in two if clean(words(r.text))]
 
 
 def test_stages(spark):
@@ -54,8 +48,8 @@ def test_stages(spark):
     for i, (n, k) in taken.items():  # whole copies, as near to the words taken as they come
         assert abs(sum(r.doc_id == i for r in copies) - k / n) <= 0.5
     tokens = corpus_pipeline.token_files(spark, mixed, SF).collect()
-    enc, end = vocab.hf_encoder(vocabulary("byte_bpe_50k.json")), np.array([0], np.uint32)
-    ids = {r.doc_id: np.append(enc.encode(r.text), end) for r in want[2]}
+    library = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    ids = {r.doc_id: np.array([*library.encode(r.text, add_special_tokens=False).ids, 0], np.uint32) for r in want[2]}
     assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in tokens) == sorted((r.doc_id, len(ids[r.doc_id]), zlib.crc32(ids[r.doc_id].astype("<u4").tobytes())) for r in copies)
     start = 0
     for r in sorted(tokens, key=lambda r: r.start):
@@ -66,7 +60,8 @@ def test_stages(spark):
 def test_run_and_odd_columns(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and got.count() > 0
-    odd = spark.createDataFrame([(1, None, None, None, 1, "x"), (None, "", None, None, None, None), (2, "word", "en", "s", 4, "x")], "doc_id long, text string, lang string, source string, n_chars long, _node string")
+    long = " ".join(f"w{i % 977}" for i in range(60_000))
+    odd = spark.createDataFrame([(1, None, None, None, 1, "x"), (None, "", None, None, None, None), (2, "word", "en", "s", 4, "x"), (3, long, "en", "s", None, "x"), (3, long, "en", "s", None, "x"), (3, "tie", "en", "s", 4, None), (None, long, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long, _node string")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, odd, SF)
         assert out.columns == odd.columns

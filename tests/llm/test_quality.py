@@ -1,7 +1,9 @@
+import os
 import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -56,6 +58,30 @@ def test_labelled_rows(spark):
     assert n.get((0, True), 0) <= 0.1 * n[0, False]
 
 
+def test_verdicts_against_a_plain_version(spark):
+    """The whole query, verdict included, over every row of a table, languages taken away from a third."""
+    from plain_quality import kept
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").selectExpr("doc_id", "text", "CASE WHEN doc_id % 3 > 0 THEN lang END AS lang")
+    got = {r.doc_id: r.kept for r in quality.rate_quality(docs, vocabulary("byte_bpe_multi_50k.tiktoken")).collect()}
+    want = {r.doc_id: kept(r.text, r.lang) for r in docs.collect()}
+    assert got == want and 0 < sum(want.values()) < len(want)
+
+
+def test_held_out_labels(spark):
+    """Labelled rows of a table that the bands weren't set on."""
+    d = "/root/testdata/check_s"
+    if not os.path.isdir(d):
+        pytest.skip("the table isn't here")
+    docs = spark.read.parquet(f"{d}/documents.parquet").join(spark.read.parquet(f"{d}/labels.parquet").select("doc_id", "quality"), "doc_id").where("quality is not null")
+    docs = docs.join(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").distinct(), "text", "left_anti")
+    rated = quality.rate_quality(docs, vocabulary("byte_bpe_multi_50k.tiktoken")).join(docs.select("doc_id", "quality"), "doc_id")
+    n = {(r.quality, r.kept): r["count"] for r in rated.where("not base_failed").groupBy("quality", "kept").count().collect()}
+    print(n)
+    assert n.get((1, False), 0) <= 0.005 * n[1, True]
+    assert n.get((0, True), 0) <= 0.15 * n[0, False]
+
+
 def test_keep_quality(spark):
     rows = [(1, None, None, "clash"), (2, "a b", "en", None)]
     df = spark.createDataFrame(rows, SCHEMA)
