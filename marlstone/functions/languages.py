@@ -11,42 +11,42 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-#: label, two-letter code, three-letter codes, regions and names in the order of evaluation (fixed values). Tokens, codes and patterns are built from them.
+#: Languages in the order of evaluation: label, two-letter code, three-letter codes, regions, names (fixed values). Tokens, codes and patterns are built from them.
 TABLE = (
-    ("latino", "", "lat latam spa-la spa-lat", "es-419 es-la es-mx es-ar es-cl es-co es-pe es-ve es-xl", "latino latina latam latin español-latino espanol-latino latin-american latin-spanish spanish-latino spanish-latin"),
-    ("spanish", "es", "spa esp cast cas spa-es", "es-es", "spanish español espanol castellano castilian"),
-    ("english", "en", "eng", "en-us en-gb", "english ingles inglés inglese anglais englisch"),
-    ("japanese", "ja", "jpn jap jp", "ja-jp", "japanese japones japonés japonês nihongo giapponese japonais"),
-    ("french", "fr", "fre fra vf vff vfq", "fr-fr fr-ca", "french frances francés français francais truefrench vff vfq vfi"),
-    ("german", "de", "ger deu", "de-de", "german aleman alemán deutsch"),
-    ("italian", "it", "ita", "it-it", "italian italiano"),
-    ("portuguese", "pt", "por ptb por-br", "pt-br pt-pt", "portuguese portugues português brazilian brasileiro dublado legendado"),
-    ("russian", "ru", "rus", "ru-ru", "russian ruso русский"),
-    ("korean", "ko", "kor", "ko-kr", "korean coreano"),
-    ("chinese", "zh", "chi zho chs cht", "zh-cn zh-tw zh-hk zh-hans zh-hant", "chinese chino mandarin mandarín cantonese cantones cantonés"),
-    ("hindi", "hi", "hin", "", "hindi"),
-    ("arabic", "ar", "ara", "", "arabic arabe árabe"),
-    ("catalan", "ca", "cat", "", "catalan català catalán valencia valencià"),
-    ("basque", "eu", "eus baq", "", "basque vasco euskera euskara"),
-    ("galician", "gl", "glg", "", "galician gallego galego"),
-    ("turkish", "tr", "tur", "", "turkish turco türkçe"),
-    ("polish", "pl", "pol", "", "polish polaco polski"),
-    ("dutch", "nl", "dut nld", "", "dutch holandes holandés nederlands neerlandés"),
-    ("swedish", "sv", "swe", "", "swedish sueco svenska"),
-    ("danish", "da", "dan", "", "danish danes danés dansk"),
-    ("norwegian", "no", "nor", "", "norwegian noruego norsk"),
-    ("finnish", "fi", "", "", "finnish finlandes finlandés suomi"),
-    ("thai", "th", "tha", "", "thai tailandes tailandés"),
-    ("vietnamese", "vi", "vie", "", "vietnamese vietnamita"),
-    ("indonesian", "id", "ind", "", "indonesian indonesio bahasa"),
-    ("hebrew", "he", "heb", "", "hebrew hebreo"),
-    ("greek", "el", "gre ell", "", "greek griego"),
-    ("czech", "cs", "cze ces", "", "czech checo"),
-    ("hungarian", "hu", "hun", "", "hungarian hungaro húngaro magyar"),
-    ("romanian", "ro", "rum ron", "", "romanian rumano"),
-    ("ukrainian", "uk", "ukr", "", "ukrainian ucraniano"),
-    ("filipino", "tl", "fil tgl", "", "filipino tagalog"),
-)
+    ("latino", "", ["lat", "latam", "spa-la", "spa-lat"], ["es-419", "es-la", "es-mx", "es-ar", "es-cl", "es-co", "es-pe", "es-ve", "es-xl"], ["latino", "latina", "latam", "latin", "español-latino", "espanol-latino", "latin-american", "latin-spanish", "spanish-latino", "spanish-latin"]),
+    ("spanish", "es", ["spa", "esp", "cast", "cas", "spa-es"], ["es-es"], ["spanish", "español", "espanol", "castellano", "castilian"]),
+    ("english", "en", ["eng"], ["en-us", "en-gb"], ["english", "ingles", "inglés", "inglese", "anglais", "englisch"]),
+    ("japanese", "ja", ["jpn", "jap", "jp"], ["ja-jp"], ["japanese", "japones", "japonés", "japonês", "nihongo", "giapponese", "japonais"]),
+    ("french", "fr", ["fre", "fra", "vf", "vff", "vfq"], ["fr-fr", "fr-ca"], ["french", "frances", "francés", "français", "francais", "truefrench", "vff", "vfq", "vfi"]),
+    ("german", "de", ["ger", "deu"], ["de-de"], ["german", "aleman", "alemán", "deutsch"]),
+    ("italian", "it", ["ita"], ["it-it"], ["italian", "italiano"]),
+    ("portuguese", "pt", ["por", "ptb", "por-br"], ["pt-br", "pt-pt"], ["portuguese", "portugues", "português", "brazilian", "brasileiro", "dublado", "legendado"]),
+    ("russian", "ru", ["rus"], ["ru-ru"], ["russian", "ruso", "русский"]),
+    ("korean", "ko", ["kor"], ["ko-kr"], ["korean", "coreano"]),
+    ("chinese", "zh", ["chi", "zho", "chs", "cht"], ["zh-cn", "zh-tw", "zh-hk", "zh-hans", "zh-hant"], ["chinese", "chino", "mandarin", "mandarín", "cantonese", "cantones", "cantonés"]),
+    ("hindi", "hi", ["hin"], [], ["hindi"]),
+    ("arabic", "ar", ["ara"], [], ["arabic", "arabe", "árabe"]),
+    ("catalan", "ca", ["cat"], [], ["catalan", "català", "catalán", "valencia", "valencià"]),
+    ("basque", "eu", ["eus", "baq"], [], ["basque", "vasco", "euskera", "euskara"]),
+    ("galician", "gl", ["glg"], [], ["galician", "gallego", "galego"]),
+    ("turkish", "tr", ["tur"], [], ["turkish", "turco", "türkçe"]),
+    ("polish", "pl", ["pol"], [], ["polish", "polaco", "polski"]),
+    ("dutch", "nl", ["dut", "nld"], [], ["dutch", "holandes", "holandés", "nederlands", "neerlandés"]),
+    ("swedish", "sv", ["swe"], [], ["swedish", "sueco", "svenska"]),
+    ("danish", "da", ["dan"], [], ["danish", "danes", "danés", "dansk"]),
+    ("norwegian", "no", ["nor"], [], ["norwegian", "noruego", "norsk"]),
+    ("finnish", "fi", [], [], ["finnish", "finlandes", "finlandés", "suomi"]),
+    ("thai", "th", ["tha"], [], ["thai", "tailandes", "tailandés"]),
+    ("vietnamese", "vi", ["vie"], [], ["vietnamese", "vietnamita"]),
+    ("indonesian", "id", ["ind"], [], ["indonesian", "indonesio", "bahasa"]),
+    ("hebrew", "he", ["heb"], [], ["hebrew", "hebreo"]),
+    ("greek", "el", ["gre", "ell"], [], ["greek", "griego"]),
+    ("czech", "cs", ["cze", "ces"], [], ["czech", "checo"]),
+    ("hungarian", "hu", ["hun"], [], ["hungarian", "hungaro", "húngaro", "magyar"]),
+    ("romanian", "ro", ["rum", "ron"], [], ["romanian", "rumano"]),
+    ("ukrainian", "uk", ["ukr"], [], ["ukrainian", "ucraniano"]),
+    ("filipino", "tl", ["fil", "tgl"], [], ["filipino", "tagalog"]),
+)
 #: Three-letter codes that only count in lower case, as whole entries: as capitals they are words or ids of something else.
 _ENTRY_ONLY = {"jp"}
 SPANISH, ENGLISH = ("spanish", "latino"), ("english",)
@@ -61,7 +61,7 @@ class _Rules:
         self.ordered: list[tuple[str, re.Pattern, re.Pattern | None]] = []
         self._all: list[str] = []
         for label, two, three, regions, names in table:
-            codes, places, words = three.split(), regions.split(), names.split()
+            codes, places, words = list(three), list(regions), list(names)
             for entry in [two, *codes, *words, *places]:
                 for form in {entry, entry.replace("-", "_"), entry.replace("-", ""), entry.replace("-", " ")} if "-" in entry else {entry}:
                     if form:
