@@ -1,6 +1,6 @@
 """Work groups, propagation of ids inside them, and lookups against catalogue tables.
 
-Catalogues are DataFrames: ``search`` (source, kind, work_id, title, alt_titles, year, popularity, rank), ``bridge`` (site, external_id, kitsu_id),
+Catalogues are DataFrames: ``search`` (source, kind, work_id, title, alt_titles, year, popularity, rank, and perhaps mal_id), ``bridge`` (site, external_id, kitsu_id),
 ``find`` (imdb_id, kind, tmdb_id) and ``external`` (kind, tmdb_id, imdb_id). Exact joins come first; only what they leave unresolved is matched by title.
 """
 
@@ -180,6 +180,9 @@ def resolve(works: DataFrame, search: DataFrame, bridge: DataFrame, find: DataFr
         hit = best_match(tried, titles, block="block", min_score=min_score, **options).select("work", F.col("work_id").alias(f"_{source}_id"), F.col("match_score").alias(f"_{source}_score"), F.col("attempt").alias(f"_{source}_attempt"))
         w = w.join(hit, "work", "left").withColumn(target, F.coalesce(target, f"_{source}_id"))
         if source == "anilist":
+            if "mal_id" in search.columns:
+                both = search.where((F.col("source") == source) & F.col("mal_id").isNotNull()).groupBy(F.col("work_id").alias("_anilist_id")).agg(F.min("mal_id").alias("_mal"))
+                w = w.join(both, "_anilist_id", "left").withColumn("mal_id", F.coalesce("mal_id", "_mal")).drop("_mal")
             w = bridged(w)
     own, other = F.when(F.col("kind") == "movie", "movie").otherwise("tv"), F.when(F.col("kind") == "movie", "tv").otherwise("movie")
     known = F.coalesce(F.col("found_kind"), F.when(F.col("_tmdb_attempt") >= _OTHER_KIND, other).when(F.col("_tmdb_attempt").isNotNull(), own))

@@ -102,14 +102,16 @@ def ordered_map(items: Iterable, workers: int, call: Callable) -> list:
         return list(pool.map(call, items))
 
 
-def fetch_json(url: str, *, timeout: float = 15.0, headers: dict[str, str] | None = None) -> object:
-    """GET as JSON; 408, 425, 429 and 5xx are transient."""
+def fetch_json(url: str, *, timeout: float = 15.0, headers: dict[str, str] | None = None, body: object = None) -> object:
+    """GET, or POST of a JSON body, as JSON; 408, 425, 429 and 5xx are transient, and so is a network that fails."""
     import json
     import urllib.error
     import urllib.request
 
     try:
-        with urllib.request.urlopen(urllib.request.Request(url, headers=headers or {}), timeout=timeout) as r:  # noqa: S310
+        data = None if body is None else json.dumps(body).encode()
+        kind = {"Content-Type": "application/json", "Accept": "application/json"} if data else {"Accept": "application/json"}
+        with urllib.request.urlopen(urllib.request.Request(url, data=data, headers=kind | (headers or {})), timeout=timeout) as r:  # noqa: S310
             return json.load(r)
     except urllib.error.HTTPError as e:
         hidden = re.sub(r"([?&](?:api_key|key|token)=)[^&]*", r"\1***", url)
@@ -117,3 +119,5 @@ def fetch_json(url: str, *, timeout: float = 15.0, headers: dict[str, str] | Non
             wait = e.headers.get("Retry-After", "")
             raise Transient(f"{e.code} from {hidden}", float(wait) if wait.isdigit() else None) from e
         raise RuntimeError(f"{e.code} from {hidden}") from e
+    except (urllib.error.URLError, TimeoutError, ConnectionError) as e:
+        raise Transient(f"{type(e).__name__} from {url.split('?')[0]}") from e
