@@ -11,7 +11,6 @@ import base64
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 from operator import attrgetter
 
 import numpy as np
@@ -21,7 +20,7 @@ _CUT = re.compile(r" (?=[!-~¡-ᙿ])")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+| ?[0-9²³¹¼-¾]+| ?[^\sA-Za-zªµºÀ-ÖØ-öø-ɏ0-9²³¹¼-¾]+|\s+(?!\S)|\s+")
 _LATIN = re.compile(r"[\t\n\r -~¡-ɏ]*\Z")
 #: Bounds of the caches: entries of the newer half (the older half has as many), and characters of what is kept.
-PIECES, WORDS, LENGTH = 20_000, 250_000, 48
+PIECES, WORDS, LENGTH = 20_000, 140_000, 48
 
 
 class _Cache(dict):
@@ -71,7 +70,24 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
 
 
-@lru_cache(maxsize=1)
+_held: dict[tuple[str, str], object] = {}
+
+
+def _one_a_process(make):
+    """Keeps what ``make`` gives for the last argument, for all tasks of a process; what any other maker gave goes, so that a process holds one vocabulary and its caches."""
+
+    def get(path: str):
+        key = (make.__name__, path)
+        if key not in _held:
+            _held.clear()
+            _held[key] = make(path)
+        return _held[key]
+
+    get.__doc__, get.cache_clear = make.__doc__, _held.clear
+    return get
+
+
+@_one_a_process
 def hf_encoder(path: str) -> PieceEncoder:
     """For a byte-level vocabulary file of the tokenizers library; texts with the string of an added token go to it whole, since it takes these out first. One a process, for all its tasks: its caches are bounded and stay warm."""
     from tokenizers import Tokenizer
@@ -90,7 +106,7 @@ def hf_encoder(path: str) -> PieceEncoder:
     return PieceEncoder(word, lambda x: t.encode(x, add_special_tokens=False).ids, added)
 
 
-@lru_cache(maxsize=1)
+@_one_a_process
 def rank_encoder(path: str) -> tuple[PieceEncoder, np.ndarray]:
     """For a tiktoken rank file; also which ids are no whole characters by themselves (byte fallback). One a process."""
     import public_tokenizers
