@@ -68,6 +68,7 @@ class Config:
     unknown_steps: tuple[str, ...] = ()
     clean_title_column: str = "title_text"
     dry_run: bool = True
+    log_samples: int = 5
     continue_on_error: bool = False
     max_delete_ratio: float = 0.95
     guard_min_rows: int = 10

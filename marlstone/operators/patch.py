@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,17 @@ def apply_patch(table: DataFrame, patch: DataFrame, key: str, columns: Sequence[
     return joined.select(*[F.when(F.array_contains("changed", c), F.col(f"_new_{c}")).otherwise(table[c]).alias(c) if c in columns else table[c] for c in table.columns])
 
 
+def refreshed(before: DataFrame, after: DataFrame, key: str, sources: Sequence[str], at, *, freshness: str = "updated_at") -> DataFrame:
+    """``after`` with the freshness rule of the table: it becomes ``at`` where a column that the source of the rows maintains has changed, and stays what it was where only maintenance wrote.
+
+    Rows that ``before`` lacks are fresh; rows that it alone has are gone.
+    """
+    old = before.select(F.col(key).alias("_key"), F.col(freshness).alias("_then"), *[F.col(c).alias(f"_old_{c}") for c in sources])
+    joined = after.join(old, after[key] == F.col("_key"), "left")
+    moved = reduce(lambda a, b: a | b, [~after[c].eqNullSafe(F.col(f"_old_{c}")) for c in sources], F.col("_key").isNull())
+    return joined.select(*[F.when(moved, F.lit(at)).otherwise(F.col("_then")).cast(after.schema[freshness].dataType).alias(c) if c == freshness else after[c] for c in after.columns])
+
+
 def histogram(patch: DataFrame) -> DataFrame:
     """Changes for each column."""
     return patch.select(F.explode("changed").alias("column_name")).groupBy("column_name").agg(F.count("*").alias("n_changes"))

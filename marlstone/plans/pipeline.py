@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import os
 import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
@@ -38,15 +39,33 @@ class RunResult:
     def ok(self) -> bool:
         return all(s.error is None for s in self.steps)
 
+    def write_summary(self, path: str | None = None) -> bool:
+        """Append the summary to a file; without a path to the one that a workflow names in GITHUB_STEP_SUMMARY. Whether there was one."""
+        path = path or os.environ.get("GITHUB_STEP_SUMMARY")
+        if not path:
+            return False
+        with open(path, "a", encoding="utf-8") as f:
+            f.write(self.markdown() + "\n")
+        return True
+
     def markdown(self) -> str:
         rows = "".join(f"| {s.name} | {s.seconds:.1f} s | {s.error or ', '.join(f'{k} {v}' for k, v in s.metrics.items())} |\n" for s in self.steps)
         return f"| step | time | result |\n|-|-|-|\n{rows}"
 
 
+def _say(step: str, doomed: DataFrame, c: Config) -> None:
+    """Log the titles of a few rows that a step deletes: the number is the feature."""
+    if c.log_samples and log.isEnabledFor(logging.INFO):
+        for r in doomed.select("id", "title").orderBy("id").limit(c.log_samples).collect():
+            log.info("%s deletes %s: %.120s", step, r.id, r.title)
+
+
 def adult_step(table: DataFrame, c: Config, ws: Workspace, extras: Mapping) -> tuple[DataFrame, dict]:
     doomed = policies.keyword_policy(F.col("title"), extra=c.extra_keywords)
     counts = guard.check(table, {"adult": (doomed, F.lit(True))}, c.max_delete_ratio, c.guard_min_rows)
-    return policies.split_by(table, doomed)[0], {"scanned": counts["adult"][1], "deleted": counts["adult"][0]}
+    kept, gone = policies.split_by(table, doomed)
+    _say("adult", gone, c)
+    return kept, {"scanned": counts["adult"][1], "deleted": counts["adult"][0]}
 
 
 def size_step(table: DataFrame, c: Config, ws: Workspace, extras: Mapping) -> tuple[DataFrame, dict]:
@@ -61,13 +80,16 @@ def size_step(table: DataFrame, c: Config, ws: Workspace, extras: Mapping) -> tu
     episodes = kind.isin("series", "anime") if c.size_covers_anime else kind == "series"
     rules = {"films": (d & (kind == "movie"), kind == "movie"), "episodes": (d & episodes, episodes), "untyped": (d & kind.isNull(), F.lit(True))}
     counts = guard.check(saved, rules, c.max_delete_ratio, c.guard_min_rows)
+    _say("size", saved.where(d), c)
     return saved.where(~d).drop("_doomed"), {f"deleted_{k}": v[0] for k, v in counts.items()}
 
 
 def dead_step(table: DataFrame, c: Config, ws: Workspace, extras: Mapping) -> tuple[DataFrame, dict]:
     doomed = policies.stale_policy(F.col("seeders"), F.col("updated_at"), as_of=c.as_of, days=c.stale_days, include_null=c.stale_includes_null)
     counts = guard.check(table, {"dead": (doomed, F.lit(True))}, c.max_delete_ratio, c.guard_min_rows)
-    return policies.split_by(table, doomed)[0], {"scanned": counts["dead"][1], "deleted": counts["dead"][0]}
+    kept, gone = policies.split_by(table, doomed)
+    _say("dead", gone, c)
+    return kept, {"scanned": counts["dead"][1], "deleted": counts["dead"][0]}
 
 
 def normalize_step(table: DataFrame, c: Config, ws: Workspace, extras: Mapping) -> tuple[DataFrame, dict]:
@@ -143,6 +165,7 @@ def dedupe_step(table: DataFrame, c: Config, ws: Workspace, extras: Mapping) ->
     marked = ws.save(survivors.mark_survivors(keyed, group=["root", "episode_key"], episode="episode_key", other_policy=c.other_language_policy, unknown_as=c.unknown_language_as, margin=c.audio_tie_margin), "marked")
     counts = guard.check(marked, {"dedupe": (~F.col("keep"), F.lit(True))}, c.max_delete_ratio, c.guard_min_rows)
     m = survivors.dedupe_metrics(marked, ["root", "episode_key"], "episode_key").first()
+    _say("dedupe", table.join(survivors.delete_set(marked), "id", "left_semi"), c)
     return delete_rows(table, survivors.delete_set(marked)), {"keyed": counts["dedupe"][1], "groups": m.n_groups, "duplicated": m.n_duplicated, "unknown_episode": m.n_unknown_episode, "deleted": m.n_deletes}
 
 

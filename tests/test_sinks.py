@@ -130,3 +130,48 @@ def test_transient_errors_are_tried_again():
     session = database._Session(connect, tries=2)
     session.run(work)
     assert len(opened) == 2
+
+
+def test_freshness_follows_the_source_alone(spark):
+    from marlstone.operators import patch
+
+    then, now = "2024-01-01 00:00:00", "2024-02-02 00:00:00"
+    kinds = "id long, seeders long, title string, updated_at string"
+    before = spark.createDataFrame([(1, 5, "a", then), (2, 5, "b", then), (3, None, "c", then), (9, 1, "gone", then)], kinds)
+    after = spark.createDataFrame([(1, 5, "A", now), (2, 6, "b", now), (3, None, "C", now), (4, 1, "new", None)], kinds)
+    assert {r.id: r.updated_at for r in patch.refreshed(before, after, "id", ["seeders"], now).collect()} == {1: then, 2: now, 3: then, 4: now}
+
+
+def test_doctor(spark, capsys, monkeypatch, tmp_path):
+    from marlstone.__main__ import main
+    from marlstone.config import Config
+    from marlstone.plans.doctor import examine, masked
+    from marlstone.sources.catalogues import Catalogues
+
+    store = TableStore(spark, Workspace(spark, "t").path("doctor"))
+    names = lambda found: {f.name: f.ok for f in found}
+    assert names(examine(Config(), store)) == {"settings": True, "table": False, "telemetry": False}
+    store.commit(spark.range(2).selectExpr("id", "'t' title", "1L seeders", "timestamp'2024-01-01' updated_at"))
+    assert names(examine(Config(steps=("adult", "dead")), store)) == {"settings": True, "table": True}
+    lacking = examine(Config(steps=("size",)), store)
+    assert not lacking[1].ok and "size lacks size_bytes, type" in lacking[1].detail
+    refused = examine(Config(), None, Catalogues(tmdb_key="k" * 32, ask=lambda url, **_: 1 / 0))
+    assert names(refused)["TMDB key"] is False and "k" * 10 not in str(refused[-1]) and masked("short") == "set (5 characters)"
+    monkeypatch.chdir(tmp_path)
+    (tmp_path / ".env").write_text("STEPS=adult\nexport OTHER='x'\n")
+    assert main(["doctor"]) == 0 and "steps adult" in capsys.readouterr().out
+    (tmp_path / ".env").write_text("STEPS=nonsense")
+    assert main(["doctor"]) == 1 and main(["parse", "Glass.Harbour.S01E02.mkv"]) == 0 and main([]) == 2
+
+
+def test_summary_and_samples(spark, tmp_path, caplog):
+    import logging
+
+    from marlstone.plans import pipeline
+
+    result = pipeline.RunResult([pipeline.StepResult("adult", 1.0, None, {"deleted": 2})], spark.range(1))
+    path = tmp_path / "summary.md"
+    assert result.write_summary(str(path)) and result.write_summary(str(path)) and path.read_text().count("deleted 2") == 2
+    with caplog.at_level(logging.INFO, logger=pipeline.__name__):
+        pipeline._say("adult", spark.range(9).selectExpr("id", "concat('t', id) title"), pipeline.Config(log_samples=3))
+    assert [r.getMessage() for r in caplog.records] == [f"adult deletes {i}: t{i}" for i in range(3)]
