@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import labels, languages, release, text
 from ..operators import enrich, guard, identity, patch, policies, survivors
 from ..operators.components import connected_components
-from ..sources.store import TableStore, delete_rows
+from ..sources.store import TableStore, delete_rows, with_telemetry
 from ..sources.workspace import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -382,6 +382,31 @@ def search_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("p_partkey", F.array_join(release.variants(F.col("p_name"), F.col("season"), F.col("p_partkey") % 2 == 0), "|").alias("variants"))
 
 
+@_query("SELECT p_partkey, p_name AS clean_title, 1 AS season, CASE WHEN p_partkey % 3 = 1 THEN NULL ELSE 2 END::INT AS episode FROM part")
+def parse_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that stand in the place of a group, behind the number, and between labels."""
+    forms = "WHEN 0 THEN concat('[', p_name, '] S01E02 1080p') WHEN 1 THEN concat('S01 720p ', p_name) ELSE concat('1x02 ', p_name, ' HDTV') END"
+    return _read(spark, sf_dir, f"CASE p_partkey % 3 {forms}", "clean_title", "season", "episode")
+
+
+@_query(
+    """SELECT p_partkey, p_name AS clean_title, CASE p_partkey % 4 WHEN 0 THEN 'dualaudio' WHEN 1 THEN 'remastered' WHEN 2 THEN 'proper' ELSE '' END AS flags, p_partkey % 4 = 0 AS dual, p_partkey % 4 = 2 AS multi_subs,
+    p_partkey % 4 = 3 AS original, CASE WHEN p_partkey % 4 = 3 THEN 'french' WHEN p_partkey % 4 = 2 THEN 'english,spanish' ELSE '' END AS subtitles FROM part"""
+)
+def parse_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marks of editions, of several languages and of original audio."""
+    forms = "WHEN 0 THEN concat(p_name, ' 2011 Dual-Audio 1080p') WHEN 1 THEN concat(p_name, ' 2011 Remastered 1080p') WHEN 2 THEN concat(p_name, ' (2011) PROPER 720p [Multi Subs][ENG][SPA]') ELSE concat(p_name, ' 2011 VOSTFR 1080p') END"
+    found = _read(spark, sf_dir, f"CASE p_partkey % 4 {forms}", "clean_title", "flags", "dual", "multi_subs", "original", "subtitles")
+    return found.withColumn("flags", F.array_join(F.filter("flags", lambda f: f != "multisubs"), ",")).withColumn("subtitles", F.array_join("subtitles", ","))
+
+
+@_query("SELECT doc_id, 'english,' || CASE lang WHEN 'en' THEN 'latino' WHEN 'fr' THEN 'french,latino' WHEN 'de' THEN 'german,latino' ELSE 'latino,spanish' END AS sorted, 'latino,english' || CASE lang WHEN 'en' THEN '' WHEN 'fr' THEN ',french' WHEN 'de' THEN ',german' ELSE ',spanish' END AS ordered, lang = 'en' AS same FROM documents")
+def language_unions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both ways to join arrays of labels, and their equality element by element."""
+    own, other = F.array(languages.token_label(F.col("lang"))), F.array(F.lit("latino"), F.lit("english"))
+    return _t(spark, sf_dir, "documents").select("doc_id", F.array_join(languages.union_sorted(own, other), ",").alias("sorted"), F.array_join(languages.union_ordered(other, own), ",").alias("ordered"), languages.same_labels(own, F.array(F.lit("english"))).alias("same"))
+
+
 # --- patches -------------------------------------------------------------------------------------------------------------------
 
 
@@ -429,6 +454,28 @@ def patch_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select("c_custkey", F.lit("valid").alias("verdict"), F.lit("").alias("reasons")).unionByName(bad.select("c_custkey", F.lit("rejected").alias("verdict"), F.array_join("reasons", ",").alias("reasons")))
 
 
+@_query(
+    """SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN p_size WHEN 1 THEN p_size WHEN 2 THEN -p_size END::INT AS number, repeat('x', least(20, p_size::BIGINT)::INT) AS codec FROM part"""
+)
+def exact_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that are whole numbers, and values cut to the width of their column."""
+    text = "CASE p_partkey % 6 WHEN 0 THEN concat(' ', CAST(p_size AS STRING), ' ') WHEN 1 THEN concat(CAST(p_size AS STRING), '.00') WHEN 2 THEN concat('-', CAST(p_size AS STRING)) WHEN 3 THEN concat(CAST(p_size AS STRING), '.5') WHEN 4 THEN 'seven' ELSE '99999999999' END"
+    return _parts(spark, sf_dir, f"{text} AS t", "repeat('x', CAST(p_size AS INT)) AS c").select("p_partkey", patch.exact_int(F.col("t")).alias("number"), labels.fit("codec", F.col("c")).alias("codec"))
+
+
+@_query(
+    """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN '2024-01-31' ELSE '2023-05-05' END AS updated_at FROM customer
+    UNION ALL SELECT c_custkey + 1000000, '2024-01-31' FROM customer WHERE c_custkey % 7 = 0"""
+)
+def freshness_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows are as fresh as the last change by their source; what maintenance writes doesn't count, and new rows are fresh."""
+    k = F.col("c_custkey")
+    before = _t(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_name", F.lit("2023-05-05").alias("updated_at"))
+    after = before.select("c_custkey", F.when(k % 3 == 0, F.lit(None)).otherwise(F.col("c_acctbal")).alias("c_acctbal"), F.upper("c_name").alias("c_name"), F.lit("x").alias("updated_at"))
+    more = before.where(k % 7 == 0).withColumn("c_custkey", k + 1000000)
+    return patch.refreshed(before, after.unionByName(more), "c_custkey", ["c_acctbal"], "2024-01-31").select("c_custkey", "updated_at")
+
+
 def _as_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as catalogue rows with dirty or missing attributes."""
     return _parts(
@@ -458,6 +505,35 @@ def store_commit_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(["o_orderkey", "o_orderstatus"])
 
 
+@_query(
+    """SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN 'english,spanish' WHEN 1 THEN 'japanese' WHEN 2 THEN 'latino' ELSE '' END AS audio, CASE WHEN p_partkey % 2 = 0 THEN 'english' ELSE '' END AS subtitles,
+    concat_ws(',', CASE WHEN p_partkey % 4 = 0 THEN 'audio' WHEN p_partkey % 4 = 2 THEN 'audio' END, CASE WHEN p_partkey % 2 = 0 THEN 'subtitles' END) AS changed FROM part WHERE p_partkey % 2 = 0"""
+)
+def normalise_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules of audio and subtitles: text becomes labels, and labels that are right stay."""
+    audio = "CASE p_partkey % 4 WHEN 0 THEN array('ES', 'eng') WHEN 1 THEN array('japanese') WHEN 2 THEN array('Spanish (Latin America)') ELSE array() END"
+    rows = _parts(spark, sf_dir, "'one two' AS title", "'one two' AS title_text", "'movie' AS type", "CAST(NULL AS INT) AS season", "CAST(NULL AS INT) AS episode", "CAST(NULL AS INT) AS absolute_episode", "CAST(NULL AS STRING) AS codec", "CAST(NULL AS STRING) AS quality", f"{audio} AS audio", "CASE WHEN p_partkey % 2 = 0 THEN array('EN', 'english') ELSE CAST(array() AS array<string>) END AS subtitles").withColumnRenamed("p_partkey", "id")
+    made = patch.normalisation_patch(rows.withColumn("p", release.parsed(F.col("title"))), "p")
+    return made.select("id", F.array_join("audio", ",").alias("audio"), F.array_join("subtitles", ",").alias("subtitles"), F.array_join("changed", ",").alias("changed"))
+
+
+@_query("SELECT count(*)::BIGINT AS n_rows, count(*)::BIGINT AS n_estimated, 0 AS version, true AS dry_run_wrote_nothing FROM orders")
+def store_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a stored table, the second by file footers alone, and what a dry run leaves."""
+    store = TableStore(spark, Workspace(spark, "counts").path("orders"))
+    store.commit(_t(spark, sf_dir, "orders").select("o_orderkey"))
+    wrote = store.commit(store.read().limit(0), dry_run=True)
+    return spark.createDataFrame([(store.count(), store.estimated_count(), store.version(), wrote is None)], "n_rows long, n_estimated long, version int, dry_run_wrote_nothing boolean")
+
+
+@_query("SELECT c_custkey, c_name, NULL::TIMESTAMP AS ids_checked_at, NULL::VARCHAR AS ids_source, NULL::DOUBLE AS ids_confidence, 0 AS ids_attempts FROM customer")
+def telemetry_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table gets the columns that lookups keep; none is there before."""
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    assert not enrich.has_telemetry(c) and enrich.has_telemetry(with_telemetry(c))
+    return with_telemetry(c)
+
+
 # --- works ---------------------------------------------------------------------------------------------------------------------
 
 
@@ -492,6 +568,46 @@ def year_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.work_groups(rows).select("work", "n_rows", "ambiguous_year")
 
 
+_NEEDED = "CASE WHEN p_size % 3 = 0 THEN 'imdb_id' WHEN p_size % 3 = 1 THEN 'tmdb_id' ELSE 'mal_id' END"
+
+
+@_query(
+    f"""SELECT concat_ws('|', 'movie', p_name, '', '') AS work, string_agg(DISTINCT {_NEEDED}, ',' ORDER BY {_NEEDED}) AS needed, max(p_size % 5)::INT AS attempts, bool_or(p_partkey % 7 = 0) AS has_episode,
+    bool_or(p_partkey % 11 = 0) AS type_guessed FROM part GROUP BY p_name"""
+)
+def work_needs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a work's rows need together, their most attempts, and whether any has an episode or a guessed kind."""
+    none = F.lit(None).cast("long")
+    rows = _parts(spark, sf_dir, "'movie' AS kind", "p_name AS search_key", "CAST(NULL AS INT) AS year", "1 AS season", f"array({_NEEDED}) AS needed", "CAST(p_size % 5 AS INT) AS tries", "p_partkey % 7 = 0 AS has_episode", "p_partkey % 11 = 0 AS type_guessed").withColumnRenamed("p_partkey", "id")
+    rows = rows.withColumn("imdb_id", F.lit(None).cast("string")).withColumns({c: none for c in enrich.ID_COLUMNS[1:]})
+    works = enrich.work_groups(rows, attempts="tries", flags=("has_episode", "type_guessed"))
+    return works.select("work", F.array_join("needed", ",").alias("needed"), "attempts", "has_episode", "type_guessed")
+
+
+@_query(
+    """SELECT count(*) FILTER (p % 2 = 0)::BIGINT AS n_propagated, count(*) FILTER (p % 2 = 1 AND p % 3 = 0)::BIGINT AS n_resolved, count(*) FILTER (p % 2 = 1 AND p % 3 > 0)::BIGINT AS n_unresolved FROM (SELECT c_custkey AS p FROM customer)"""
+)
+def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Works complete by propagation, resolved and left open."""
+    c, k = _t(spark, sf_dir, "customer"), F.col("c_custkey")
+    none = F.array().cast("array<string>")
+    groups = c.select(k.alias("work"), F.when(k % 2 == 0, none).otherwise(F.array(F.lit("tmdb_id"))).alias("open"))
+    resolved = c.where(k % 2 == 1).select(k.alias("work"), F.when(k % 3 == 0, none).otherwise(F.array(F.lit("tmdb_id"))).alias("open"))
+    return enrich.outcome_counts(groups, resolved)
+
+
+@_query(
+    f"""WITH v AS (SELECT p_partkey AS work, 0 AS i, p_name AS query FROM part WHERE {SEASON} = 1 OR p_partkey % 2 = 1
+      UNION ALL SELECT p_partkey, i, CASE i WHEN 0 THEN p_name || ' ' || {SEASON} || CASE {SEASON} WHEN 2 THEN 'nd' WHEN 3 THEN 'rd' ELSE 'th' END || ' Season' WHEN 1 THEN p_name || ' Season ' || {SEASON} WHEN 2 THEN p_name || ' ' || {SEASON} ELSE p_name END
+      FROM part, range(4) AS u(i) WHERE {SEASON} > 1 AND p_partkey % 2 = 0)
+    SELECT work, i::INT AS attempt, query, 2011 AS year FROM v UNION ALL SELECT work, (i + 100)::INT, query, NULL FROM v"""
+)
+def search_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title variants with the year, and then without."""
+    works = _parts(spark, sf_dir, "CASE WHEN p_partkey % 2 = 0 THEN 'anime' ELSE 'series' END AS kind", "p_name AS title", "2011 AS year", f"{SEASON} AS season").withColumnRenamed("p_partkey", "work")
+    return enrich.attempts_of(works, with_year_first=True).select("work", "attempt", "query", "year")
+
+
 @_query(f"{_WORKS}, g AS (SELECT work, arg_min(tmdb, id) FILTER (tmdb IS NOT NULL) AS t FROM w GROUP BY work) SELECT id, CASE WHEN tmdb IS NULL THEN coalesce(t, 0) ELSE tmdb END AS tmdb_id, CASE WHEN tmdb IS NULL AND t IS NOT NULL THEN 'tmdb_id' ELSE '' END AS filled FROM w JOIN g USING (work)")
 def propagate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of a work reach its rows that miss them."""
