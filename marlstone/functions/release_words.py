@@ -102,7 +102,7 @@ NOISE_TAIL = ["online"]
 SITE_WORDS = "torrent pct divx yts yify rarbg 1337x eztv ettv tgx estreno descarga peli cine hdolimpo".split()
 SITE_ENDS = "com net org info biz xyz online site club tv cc ws top vip pro link live stream zone lol fun wtf ninja team one me to io es co lat mx ar cl pe pw li st is se ag ch nl ru si red app".split()
 
-#: What speaks for anime, with the points that a confidence is made of: from 40 on a title is anime, with 0.5 + points / 200.
+#: What speaks for anime, with the points that a confidence is made of (fixed values): from 40 on a title is anime, with 0.5 + points / 200.
 ANIME_POINTS = {
     "known group": 60, "other group with number or checksum": 25, "checksum": 25, "number after a dash, no season": 30, "resolution in parentheses": 10, "number in brackets or after a sign": 15, "japanese script": 35,
     "extra": 20, "version": 25, "ten bits": 5, "japanese audio": 15, "particle": 10, "usual word": 15, "over sixty episodes without season": 15,
