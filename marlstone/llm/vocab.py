@@ -20,7 +20,7 @@ _CUT = re.compile(r" (?=[!-~¡-ᙿ])")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+| ?[0-9²³¹¼-¾]+| ?[^\sA-Za-zªµºÀ-ÖØ-öø-ɏ0-9²³¹¼-¾]+|\s+(?!\S)|\s+")
 _LATIN = re.compile(r"[\t\n\r -~¡-ɏ]*\Z")
 #: Bounds of the caches: entries of the newer half (the older half has as many), and characters of what is kept.
-PIECES, WORDS, LENGTH = 20_000, 140_000, 48
+PIECES, WORDS, LENGTH = 20_000, 220_000, 48
 
 
 class _Cache(dict):
