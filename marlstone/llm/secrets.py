@@ -6,8 +6,8 @@ import base64
 import hashlib
 import random
 import re
-from collections.abc import Callable, Sequence
-from functools import cache
+from collections.abc import Callable, Iterator, Sequence
+from functools import cache, lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -44,8 +44,10 @@ def join_spans(spans: Sequence[tuple[int, int, str]]) -> str:
 
 # --- tokens and features -------------------------------------------------------------------------------------------------------
 
-#: A name and its value are two tokens; = stays with a long token only as padding at its end.
-_TOKEN = re.compile(r"[A-Za-z0-9+/_.~-]{15,}[A-Za-z0-9]={1,2}(?![A-Za-z0-9+/_.=~\"'-])|[A-Za-z0-9+/_.~-]*[A-Za-z0-9]|[^\sA-Za-z0-9]|[A-Za-z0-9]")
+#: A name and its value are two tokens; = stays with a long token only as padding at its end. A mark after a mark that begins no token begins none itself: said
+#: first, so that a run of marks is read once.
+_TOKEN = re.compile(r"(?<=[+/_.~-])[+/_.~-]|[A-Za-z0-9+/_.~-]{15,}[A-Za-z0-9]={1,2}(?![A-Za-z0-9+/_.=~\"'-])|[A-Za-z0-9+/_.~-]*[A-Za-z0-9]|[^\sA-Za-z0-9]|[A-Za-z0-9]")
+_SPACE = re.compile(r"\s")
 #: Words that announce a secret (fixed values).
 _WORDS = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "api", "key", "access", "auth", "bearer", "credential", "private", "login", "client_secret")
 #: Beginnings of issued keys (fixed values).
@@ -54,7 +56,9 @@ _MARK = np.zeros(256, bool)
 _MARK[list(b"0123456789=_/+@\\")] = True
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True
-_LONG, _NEAR = 24, 3
+_LONG = 24
+#: Characters of a text that are cut into tokens, and tokens that are scored, at a time; tokens that are remembered.
+_PIECE, _BLOCK, _KNOWN = 1 << 18, 1 << 18, 1 << 17
 
 
 def shape(token: str) -> str:
@@ -93,6 +97,10 @@ def _word(token: str) -> str:
     return "plain" if token.isalpha() else "number" if token.isdigit() else "other"
 
 
+def _has_looks(own: str, token: str) -> bool:
+    return own in ("other", "number", "word=near") or len(token) >= _LONG
+
+
 def features(tokens: Sequence[str], marked: int) -> list[list[str]]:
     """For each token: its looks, its neighbours up to two away, and how many marked words the file has."""
     words = [_word(t) for t in tokens]
@@ -101,7 +109,7 @@ def features(tokens: Sequence[str], marked: int) -> list[list[str]]:
     for i, t in enumerate(tokens):
         near = [f"{d}:{words[i + d] if 0 <= i + d < len(words) else 'edge'}" for d in (-2, -1, 1, 2)]
         own = words[i]
-        looks = _looks(t) if own in ("other", "number", "word=near") or len(t) >= _LONG else []
+        looks = _looks(t) if _has_looks(own, t) else []
         out.append([f"own={own}", *looks, *near, *([f"{near[0]}|{near[1]}"] if looks else []), f"{file}|{'looks' if looks else 'none'}"])
     return out
 
@@ -228,61 +236,92 @@ def _marked(data: bytes) -> np.ndarray:
     return words[has | (words[:, 1] - words[:, 0] >= _LONG)]
 
 
-def crf_spans(text: str, data: bytes, field: CRF) -> list[tuple[int, int]]:
-    """Where the field sees secrets. Words that can't look like one are O wherever they are more than two words from one that can, so only
-    the neighbourhoods are tagged; each neighbourhood is decoded whole."""
-    marked = _marked(data)
-    out: list[tuple[int, int]] = []
-    if not len(marked):
-        return out
-    reach, byte, point = 0, 0, 0
-    groups: list[list[int]] = []
-    for a, b in marked.tolist():
-        left, right = a, b
-        for _ in range(_NEAR):
-            left = _before(data, left)
-            right = _after(data, right)
-        if groups and left <= groups[-1][1]:
-            groups[-1][1] = max(groups[-1][1], right)
-        else:
-            groups.append([left, right])
-    for a, b in groups:
-        point += len(data[byte:a].decode("utf-8", "surrogatepass"))
-        byte, part = a, data[a:b].decode("utf-8", "surrogatepass")
-        tokens = list(_TOKEN.finditer(part))
-        tags = field.decode(features([m[0] for m in tokens], len(marked)))
-        span = None
-        for m, tag in zip(tokens, tags, strict=True):
-            if tag == 2 and span:
-                span = (span[0], m.end())
-                continue
-            if span:
-                out.append((span[0] + point, span[1] + point))
-            span = m.span() if tag else None
-        if span:
-            out.append((span[0] + point, span[1] + point))
-    return out
+class _Kinds(dict):
+    """The number of a token's class, with that of all classes added if it has looks; as many tokens are remembered as fit."""
+
+    def __init__(self, classes: Sequence[str]):
+        self.classes, self.at = len(classes), {c: i for i, c in enumerate(classes)}
+
+    def __missing__(self, token: str) -> int:
+        own = _word(token)
+        kind = self.at.get(own, self.at["unseen"]) + self.classes * _has_looks(own, token)
+        if len(token) <= 64:
+            if len(self) >= _KNOWN:
+                self.clear()
+            self[token] = kind
+        return kind
 
 
-_WHITE = b" \t\n\r\x0b\x0c"
+class _Tables:
+    """The weights of a field by classes of tokens, so that the features of all tokens of a text are added up without naming them."""
 
+    def __init__(self, field: CRF):
+        marks = sorted({m for name in field.weights for m in re.findall("mark=.", name, re.DOTALL)})
+        classes = ["edge", "plain", "number", "other", "word=near", *(f"word={w}" for w in _WORDS), *marks, "unseen"]  # a mark that training didn't see weighs nothing
 
-def _before(data: bytes, at: int) -> int:
-    """Start of the word before ``at``, which is the start of a word."""
-    while at > 0 and data[at - 1] in _WHITE:
-        at -= 1
-    while at > 0 and data[at - 1] not in _WHITE:
-        at -= 1
-    return at
+        def rows(names: Sequence[str]) -> np.ndarray:
+            return np.array([field.scores([n]) for n in names])
 
+        self.kinds, self.n = _Kinds(classes), len(classes)
+        files = [np.repeat(rows([f"file={b}|{x}" for x in ("none", "looks")]), self.n, axis=0) for b in range(8)]
+        self.own = [np.tile(rows([f"own={c}" for c in classes]), (2, 1)) + file for file in files]
+        self.near = [(2 + d, rows([f"{d}:{c}" for c in classes])) for d in (-2, -1, 1, 2)]
+        self.pairs = np.array([rows([f"-2:{a}|-1:{b}" for b in classes]) for a in classes])
+        self.looks = lru_cache(_KNOWN)(lambda token: field.scores(_looks(token)))
 
-def _after(data: bytes, at: int) -> int:
-    n = len(data)
-    while at < n and data[at] in _WHITE:
-        at += 1
-    while at < n and data[at] not in _WHITE:
-        at += 1
-    return at
+
+@lru_cache(4)
+def _tables(field: CRF) -> _Tables:
+    return _Tables(field)
+
+
+def _pieces(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of pieces of ``text`` that end at white space, which no token holds."""
+    a = 0
+    while a < len(text):
+        cut = _SPACE.search(text, a + _PIECE)
+        b = cut.start() if cut else len(text)
+        yield a, b
+        a = b
+
+
+def crf_spans(text: str, data: bytes, field: CRF) -> list[tuple[int, int]]:
+    """Where the field sees secrets: the likeliest labels of all tokens of the whole text. Every token is scored; of those that are surely O
+    (see ``CRF.margin``) no path needs to be searched."""
+    tables, pieces = _tables(field), list(_pieces(text))
+    kinds, looks = [np.zeros(0, np.int16)], [np.zeros((0, 3))]
+    for a, b in pieces:
+        tokens = _TOKEN.findall(text, a, b)
+        kinds.append(np.fromiter(map(tables.kinds.__getitem__, tokens), np.int16, len(tokens)))
+        seen = [tokens[i] for i in np.flatnonzero(kinds[-1] >= tables.n).tolist()]
+        looks.append(np.array([tables.looks(t) if len(t) <= 64 else tables.looks.__wrapped__(t) for t in seen]).reshape(-1, 3))
+    firsts, kind, rows = np.cumsum([len(k) for k in kinds]), np.concatenate(kinds), np.concatenate(looks)
+    n, looked = len(kind), np.flatnonzero(kind >= tables.n)
+    around = np.zeros(n + 4, np.int16)  # token i is at i + 2; before and after all are edges, class 0
+    around[2:-2] = kind % tables.n
+    own, places, scores = tables.own[min(len(_marked(data)), 64).bit_length()], [], []
+    for a in range(0, n, _BLOCK):
+        b = min(n, a + _BLOCK)
+        block = own[kind[a:b]]
+        for d, table in tables.near:
+            block += table[around[a + d : b + d]]
+        i, j = np.searchsorted(looked, (a, b))
+        at = looked[i:j]
+        block[at - a] += rows[i:j] + tables.pairs[around[at], around[at + 1]]
+        unsure = np.flatnonzero(block[:, 0] - block[:, 1:].max(axis=1) <= field.margin)
+        places += (unsure + a).tolist()
+        scores += block[unsure].tolist()
+    spans: list[list[int]] = []
+    for i, tag in field.decode_unsure(places, scores, n):
+        if tag == 2 and spans and spans[-1][1] == i - 1:
+            spans[-1][1] = i
+        else:
+            spans.append([i, i])
+    ends, found = {i for s in spans for i in s}, {}
+    for first, last, (a, b) in zip(firsts, firsts[1:], pieces, strict=False):
+        if any(first <= i < last for i in ends):
+            found |= {i: m.span() for i, m in enumerate(_TOKEN.finditer(text, a, b), int(first)) if i in ends}
+    return [(found[i][0], found[j][1]) for i, j in spans]
 
 
 def scan(text: str, field: CRF) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
