@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 
@@ -15,8 +15,8 @@ class CRF:
     def __init__(self, weights: dict[str, np.ndarray], moves: np.ndarray):
         self.weights, self.moves = weights, moves
         self._none = np.zeros(len(LABELS))
-        #: A token at which O leads by more is O in every best path: its two transitions can't make up for it.
-        self.margin = float(2 * (moves.max() - moves.min()))
+        #: A token at which O leads B and I by more is O in every best path: no neighbours' transitions can make up for it, and no end of the text.
+        self.margin = np.maximum(0, (moves[:, 1:] - moves[:, :1]).max(axis=0)) + np.maximum(0, (moves[1:] - moves[0]).max(axis=1))
 
     def scores(self, features: Sequence[str]) -> np.ndarray:
         get, none = self.weights.get, self._none
@@ -39,29 +39,31 @@ class CRF:
     def safe_margin(self, features: Sequence[str]) -> float:
         """By how much O leads at a token, less the most that its two transitions can make up for. Above 0 the token is O in every best path."""
         s = self.scores(features)
-        return float(s[0] - s[1:].max() - self.margin)
+        return float((s[0] - s[1:] - self.margin).min())
 
-    def decode_unsure(self, places: Sequence[int], scores: Sequence[Sequence[float]], n: int) -> list[tuple[int, int]]:
+    def decode_unsure(self, places: np.ndarray, scores: np.ndarray, n: int) -> Iterator[tuple[int, int]]:
         """(token, label) of the tokens that aren't O in the likeliest labels of ``n`` tokens; ``places`` and ``scores`` are of those that ``margin`` doesn't make O.
 
         A token that is O in every best path parts what is before it from what is after it, so each run of the others is decoded apart, between two O.
         """
-        moves, labels, out, i = self.moves.tolist(), range(len(LABELS)), [], 0
-        while i < len(places):
-            best, back, j = [s + (moves[0][y] if places[i] else 0.0) for y, s in enumerate(scores[i])], [], i + 1
-            while j < len(places) and places[j] == places[j - 1] + 1:
-                came = [max(labels, key=lambda x, y=y: best[x] + moves[x][y]) for y in labels]
-                back.append(came)
-                best = [best[came[y]] + moves[came[y]][y] + s for y, s in enumerate(scores[j])]
-                j += 1
-            if places[j - 1] + 1 < n:
+        moves, into = self.moves.tolist(), self.moves.T.tolist()
+        ends = np.append(np.flatnonzero(np.diff(places) > 1) + 1, len(places)).tolist() if len(places) else []
+        for i, j in zip([0, *ends], ends, strict=False):
+            first, last, back = int(places[i]), int(places[j - 1]), bytearray()
+            best = [s + (moves[0][y] if first else 0.0) for y, s in enumerate(scores[i].tolist())]
+            for block in range(i + 1, j, 4096):
+                for s in scores[block : min(j, block + 4096)].tolist():
+                    ways = [[b + m for b, m in zip(best, to, strict=True)] for to in into]
+                    tops = [max(w) for w in ways]
+                    back += bytes([w.index(t) for w, t in zip(ways, tops, strict=True)])
+                    best = [t + x for t, x in zip(tops, s, strict=True)]
+            if last + 1 < n:
                 best = [b + moves[y][0] for y, b in enumerate(best)]
-            path = [max(labels, key=best.__getitem__)]
-            for came in reversed(back):
-                path.append(came[path[-1]])
-            out += [(places[k], y) for k, y in zip(range(i, j), reversed(path), strict=True) if y]
-            i = j
-        return out
+            path = bytearray([best.index(max(best))])
+            for k in range(len(back) - len(LABELS), -1, -len(LABELS)):
+                path.append(back[k + path[-1]])
+            path.reverse()
+            yield from ((first + k, y) for k, y in enumerate(path) if y)
 
 
 def train(sentences: Sequence[Sequence[Sequence[str]]], labels: Sequence[Sequence[int]], *, rounds: int = 80, rate: float = 0.4, l2: float = 0.02) -> CRF:

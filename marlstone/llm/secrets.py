@@ -299,7 +299,7 @@ def crf_spans(text: str, data: bytes, field: CRF) -> list[tuple[int, int]]:
     n, looked = len(kind), np.flatnonzero(kind >= tables.n)
     around = np.zeros(n + 4, np.int16)  # token i is at i + 2; before and after all are edges, class 0
     around[2:-2] = kind % tables.n
-    own, places, scores = tables.own[min(len(_marked(data)), 64).bit_length()], [], []
+    own, places, scores = tables.own[min(len(_marked(data)), 64).bit_length()], [np.zeros(0, int)], [np.zeros((0, 3))]
     for a in range(0, n, _BLOCK):
         b = min(n, a + _BLOCK)
         block = own[kind[a:b]]
@@ -308,11 +308,11 @@ def crf_spans(text: str, data: bytes, field: CRF) -> list[tuple[int, int]]:
         i, j = np.searchsorted(looked, (a, b))
         at = looked[i:j]
         block[at - a] += rows[i:j] + tables.pairs[around[at], around[at + 1]]
-        unsure = np.flatnonzero(block[:, 0] - block[:, 1:].max(axis=1) <= field.margin)
-        places += (unsure + a).tolist()
-        scores += block[unsure].tolist()
+        unsure = np.flatnonzero((block[:, :1] - block[:, 1:] <= field.margin).any(axis=1))
+        places.append(unsure + a)
+        scores.append(block[unsure])
     spans: list[list[int]] = []
-    for i, tag in field.decode_unsure(places, scores, n):
+    for i, tag in field.decode_unsure(np.concatenate(places), np.concatenate(scores), n):
         if tag == 2 and spans and spans[-1][1] == i - 1:
             spans[-1][1] = i
         else:

@@ -169,3 +169,21 @@ def test_tokens(text):
 
 def test_a_long_run_of_marks():
     assert len(secrets._TOKEN.findall("-" * 1_000_000)) == 1_000_000  # hours if each read the rest
+
+
+@given(st.lists(st.lists(st.sampled_from("abcd"), max_size=3), max_size=12), st.integers(0, 99), st.sampled_from([0.1, 0.5, 1.0]))
+@settings(max_examples=400, deadline=None)
+def test_runs_between_sure_tokens(sentence, seed, strength):
+    """Leaving the surely O tokens out of the search gives a path as good as the search over all tokens (equal tokens make ties), whatever the transitions."""
+    rng = np.random.default_rng(seed)
+    field = crf.CRF({f: rng.normal(size=3) + [1, 0, 0] for f in "abc"}, strength * rng.normal(size=(3, 3)))
+    scores = np.array([field.scores(f) for f in sentence]).reshape(-1, 3)
+    unsure = np.flatnonzero((scores[:, :1] - scores[:, 1:] <= field.margin).any(axis=1))
+    found = dict(field.decode_unsure(unsure, scores[unsure], len(sentence)))
+    got, best = [found.get(i, 0) for i in range(len(sentence))], field.decode(sentence)
+
+    def worth(path):
+        return sum(scores[i, y] for i, y in enumerate(path)) + sum(field.moves[a, b] for a, b in zip(path, path[1:], strict=False))
+
+    assert abs(worth(got) - worth(best)) < 1e-9
+    assert all(best[i] == 0 for i, f in enumerate(sentence) if field.safe_margin(f) > 1e-9)
